@@ -157,9 +157,12 @@ def correlations(
 
 
 def _corr(a: str, b: str) -> Column:
-    """Pearson's r over rows where both are present; NULL if either does not vary there."""
-    r = F.corr(a, b)
-    return F.when(F.isnan(r), None).otherwise(r)
+    """Pearson's r over rows where both are present; NULL if either does not vary there.
+
+    Built from the co-moments, since `corr` itself divides by zero for a constant column.
+    """
+    spread = F.regr_sxx(a, b) * F.regr_syy(a, b)
+    return F.when(spread > 0, F.regr_sxy(a, b) / F.sqrt(spread))
 
 
 def failure_window_trend(

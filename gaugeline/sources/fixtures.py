@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def sensor_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`events` as readings; signals it has no counterpart for stay absent."""
+def sensor_view(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    """`events` (a table or a stream) as readings; signals it has no counterpart for stay absent."""
+    if events is None:
+        events = spark.read.parquet(f"{sf_dir}/events.parquet")
     k = F.get_json_object("props", "$.k").cast("int")
     has_gps = F.col("event_id") % 50 != 7
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
+    return events.select(
         F.col("event_id").alias("reading_id"),
         F.col("ts").alias("timestamp"),
         F.col("user_id").alias("unit_id"),

@@ -8,7 +8,6 @@ where the stage stood.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from typing import Any
 
 import pandas as pd
 from pyspark.ml import PipelineModel
@@ -16,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..functions.timebins import day_chunk, parse_time
+from ..functions.timebins import at_second, day_chunk, parse_time
 from ..operators.bins import bin_statistics
 from ..operators.clean import drop_without_gps, flag_failures
 from ..operators.features import rolling_features
@@ -39,12 +38,13 @@ def live_bins(
     """
     flagged = flag_failures(parse_time(readings, ts))
     placed = drop_without_gps(flagged) if require_gps else flagged
-    timed = placed.withWatermark(ts, watermark)
-    bins = timed.groupBy(*parts, F.window(ts, f"{bin_minutes} minutes").alias("_window")).agg(
+    # Watermarks want a zoned type; the wall-clock second is read as UTC and back.
+    timed = placed.withColumn("_event", F.timestamp_seconds(F.unix_timestamp(ts))).withWatermark("_event", watermark)
+    bins = timed.groupBy(*parts, F.window("_event", f"{bin_minutes} minutes").alias("_window")).agg(
         *bin_statistics(placed), F.max("failure_raw").alias("failure")
     )
     return bins.select(
-        *parts, F.col("_window.start").alias("timestamp_bin"),
+        *parts, at_second(F.unix_timestamp("_window.start")).alias("timestamp_bin"),
         *[c for c in bins.columns if c not in (*parts, "_window")],
     )
 
@@ -80,7 +80,7 @@ def _advance(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> I
     before = state.get[0] if state.exists else None
     last = own.ffill() if before is None else own.ffill().fillna(before)
     if last.notna().any():
-        state.update((int(last.iloc[-1]) if pd.notna(last.iloc[-1]) else int(before),))
+        state.update((int(last.iloc[-1]),))
     yield pd.DataFrame({
         "unit_id": key[0], "second": rows["second"], "failure": rows["failure"].astype("int32"),
         "minutes_since_last_failure": (rows["second"] - last) / 60.0,
@@ -98,8 +98,7 @@ def live_since_failure(bins: DataFrame, ts: str = "timestamp_bin") -> DataFrame:
         _advance, SINCE_SCHEMA, "last_failure bigint", "append", GroupStateTimeout.NoTimeout
     )
     return out.select(
-        "unit_id", F.timestamp_add("SECOND", "second", F.expr("timestamp_ntz'1970-01-01 00:00:00'")).alias(ts),
-        "failure", "minutes_since_last_failure",
+        "unit_id", at_second(F.col("second")).alias(ts), "failure", "minutes_since_last_failure",
     )
 
 
@@ -173,7 +172,7 @@ def feature_drift(
     profile = F.broadcast(drift_profile(train, features, buckets))  # one row per feature
     place = F.size(F.filter("edges", lambda e: e < F.col("value")))
 
-    def counted(source: DataFrame, keys: list[Any]) -> DataFrame:
+    def counted(source: DataFrame, keys: list[str]) -> DataFrame:
         long = melt(source, features, keys).filter(F.col("value").isNotNull() & ~F.isnan("value"))
         return long.join(profile, "feature").groupBy("feature", *keys, place.alias("bucket"))
 
@@ -184,15 +183,15 @@ def feature_drift(
     # At most buckets rows per feature and day from here on.
     days = daily.groupBy("feature", "day").agg(F.sum("_a").alias("n"), F.sum("_sum").alias("_sum"))
     totals = expected.groupBy("feature").agg(F.sum("_e").alias("_all"))
-    grid = days.join(expected.select("feature", "bucket", "_e").unionByName(
-        daily.select("feature", "bucket").distinct().join(
-            expected.select("feature", "bucket"), ["feature", "bucket"], "left_anti"
-        ).withColumn("_e", F.lit(0).cast("bigint"))
-    ), "feature").join(totals, "feature")
+    every = profile.select("feature", F.explode(F.sequence(F.lit(0), F.size("edges"))).alias("bucket"))
+    grid = (
+        days.join(every, "feature").join(totals, "feature")
+        .join(expected, ["feature", "bucket"], "left")
+    )
     shares = grid.join(daily.select("feature", "day", "bucket", "_a"), ["feature", "day", "bucket"], "left").select(
         "feature", "day", "n", "_sum",
         F.greatest(F.coalesce("_a", F.lit(0)) / F.col("n"), F.lit(floor)).alias("a"),
-        F.greatest(F.col("_e") / F.col("_all"), F.lit(floor)).alias("e"),
+        F.greatest(F.coalesce("_e", F.lit(0)) / F.col("_all"), F.lit(floor)).alias("e"),
     )
     psi = shares.groupBy("feature", "day", "n", "_sum").agg(
         F.sum((F.col("a") - F.col("e")) * F.log(F.col("a") / F.col("e"))).alias("psi")
