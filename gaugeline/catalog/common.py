@@ -38,9 +38,10 @@ def q6(expr: str) -> str:
     return f"(round({expr} + 3e-9, 6) + 0e0)"
 
 
-def features_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The global feature table, rounded, written once."""
-    return stage(rounded(rul_features(sensor_view(spark, sf_dir))), "features")
+def features_view(spark: SparkSession, sf_dir: str, staged: bool = True) -> DataFrame:
+    """The global feature table, rounded; written once where several passes read it."""
+    table = rounded(rul_features(sensor_view(spark, sf_dir)))
+    return stage(table, "features") if staged else table
 
 
 def hourly_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,11 +61,11 @@ def pairs_view(spark: SparkSession, sf_dir: str) -> DataFrame:
                    day_chunk("timestamp_bin"), position="key")
     life = stage(life, "life")
     lagged = with_halo(life, "key", 1, lambda w: [F.lag("RUL_minutes", 1).over(w).alias("y_pred")])
-    middle = medians(life, ["RUL_minutes"]).select(F.col("RUL_minutes").alias("y_pred"))
+    middle = medians(life, ["RUL_minutes"]).first()["RUL_minutes"]
     columns = ["model", "key", F.col("RUL_minutes").alias("y_true"), "y_pred"]
     lag = lagged.withColumn("model", F.lit("lag")).select(*columns)
-    const = life.crossJoin(F.broadcast(middle)).withColumn("model", F.lit("const")).select(*columns)
-    return stage(lag.unionByName(const), "pairs")
+    const = life.withColumn("model", F.lit("const")).withColumn("y_pred", F.lit(middle)).select(*columns)
+    return lag.unionByName(const)
 
 
 # ---- SQL twins -----------------------------------------------------------------

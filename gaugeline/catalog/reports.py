@@ -237,16 +237,16 @@ filled AS (SELECT timestamp_bin, RUL_minutes, pos, cut, split, {fill} FROM split
 
 
 def _split(spark, sf_dir, rule="round"):
-    matrix, names = prep.feature_matrix(features_view(spark, sf_dir))
+    matrix, names = prep.feature_matrix(features_view(spark, sf_dir, staged=False))
     matrix = matrix.withColumn("tod_sin", r6("tod_sin")).withColumn("tod_cos", r6("tod_cos"))
-    return stage(prep.time_split(matrix, rule=rule), "split"), names
+    return prep.time_split(matrix, rule=rule), names
 
 
 def _filled(spark, sf_dir, names=None):
     split, every = _split(spark, sf_dir)
     names = names or every
-    rows = split.select("timestamp_bin", "RUL_minutes", "pos", "cut", "split", *names)
-    return stage(prep.impute(rows, names, prep.train_medians(rows, names)), "filled"), names
+    rows = stage(split.select("timestamp_bin", "RUL_minutes", "pos", "cut", "split", *names), "split")
+    return prep.impute(rows, names, prep.train_medians(rows, names).first().asDict()), names
 
 
 @entry("split_positions", "WITH " + prepared_sql(["Motor_current_std"])
@@ -265,7 +265,7 @@ def split_positions_ceil(spark, sf_dir):
     q6(f"quantile_cont({c}::DOUBLE, 0.5)") + f" AS {c}" for c in FEATURES) + " FROM split WHERE split = 'train'")
 def train_medians(spark, sf_dir):
     split, names = _split(spark, sf_dir)
-    return rounded(prep.train_medians(split, names))
+    return rounded(prep.train_medians(stage(split, "split"), names))
 
 
 @entry("median_impute", "WITH " + prepared_sql(FEATURES) + "\nSELECT pos, split, "
@@ -279,7 +279,7 @@ def median_impute(spark, sf_dir):
 SELECT split, count(*) AS n, min(pos) AS first_pos, max(pos) AS last_pos FROM split GROUP BY 1""")
 def saved_split(spark, sf_dir):
     """Cut and positions saved, loaded, and applied again."""
-    split, _ = _split(spark, sf_dir)
+    split = stage(_split(spark, sf_dir)[0], "split")
     folder = new_path(spark, "artifacts")
     save_record(spark, f"{folder}/cut", {"cut": split.agg(F.max("cut").alias("cut")).first()["cut"]})
     save_split(split, f"{folder}/split")
@@ -699,7 +699,7 @@ shares AS (
 SELECT feature, day, n, {q6('CASE WHEN std <> 0 THEN (s / n - mean) / std END')} AS mean_shift,
        {q6('sum((a - e) * ln(a / e))')} AS psi FROM shares GROUP BY feature, day, n, s, mean, std""")
 def feature_drift(spark, sf_dir):
-    split, _ = _split(spark, sf_dir)
+    split = stage(_split(spark, sf_dir)[0].select("timestamp_bin", "split", *DRIFT), "split")
     return rounded(live.feature_drift(split, split.filter("split = 'train'"), DRIFT))
 
 

@@ -56,4 +56,5 @@ def equal_width_bin(c: Column | str, low: Column, high: Column, bins: int) -> Co
     value = _col(c)
     raw = F.floor((value - low) / ((high - low) / F.lit(float(bins))))
     inside = F.least(F.greatest(raw, F.lit(0)), F.lit(bins - 1))
-    return F.when(high > low, inside).when(value.isNotNull(), F.lit(bins // 2)).cast("int")
+    placed = F.when(high > low, inside).otherwise(F.lit(bins // 2))
+    return F.when(value.isNotNull(), placed).cast("int")

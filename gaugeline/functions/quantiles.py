@@ -63,22 +63,24 @@ def exact_percentiles(
 
     wanted = probs(F.col("_total")) if callable(probs) else F.array(*[F.lit(float(p)) for p in probs])
     place = F.col("p") * (F.col("_total") - 1)
+    here = (F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_in"))
+    # Per range the ranks wanted from it: at most two per point.
     targets = (
         totals.select(*series, "_range", "_in", "_before", "_total", F.posexplode(wanted).alias("idx", "p"))
-        .select("*", place.alias("_place"), F.explode(F.array(F.floor(place), F.ceil(place))).alias("_rank"))
-        .filter((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_in")))
-        .select(*series, "_range", "_before", "_total", "idx", "p", "_place", "_rank")
-        .distinct()
+        .select("*", place.alias("_place"),
+                F.explode(F.array_distinct(F.array(F.floor(place), F.ceil(place)))).alias("_rank"))
+        .filter(here)
+        .groupBy(*series, "_range", "_before", "_total")
+        .agg(F.collect_list(F.struct("idx", "p", "_place", "_rank")).alias("_points"))
     )
 
-    needed = targets.select(*series, "_range").distinct()
     running = Window.partitionBy(*series, "_range").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = ranged.join(needed, [*series, "_range"], "left_semi").select(
-        *series, "_range", "value", "n", F.sum("n").over(running).alias("_upto")
-    )
     top = F.col("_before") + F.col("_upto")
-    found = targets.join(ranked, [*series, "_range"]).filter(
-        (F.col("_rank") < top) & (F.col("_rank") >= top - F.col("n"))
+    hit = lambda t: (t["_rank"] < top) & (t["_rank"] >= top - F.col("n"))
+    found = (
+        ranged.join(targets, [*series, "_range"])
+        .withColumn("_upto", F.sum("n").over(running))
+        .select(*series, "value", "_total", F.inline(F.filter("_points", hit)))
     )
     low, high = F.min("value"), F.max("value")
     share = F.max("_place") - F.floor(F.max("_place"))

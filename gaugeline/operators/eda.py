@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from itertools import combinations
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import equal_width_bin
@@ -129,40 +130,58 @@ def box_stats(df: DataFrame, columns: Sequence[str], groups: Sequence[str] = ())
 
 
 def correlations(
-    df: DataFrame, columns: Sequence[str] | None = None, listwise: bool = False, batch: int = 64,
+    df: DataFrame, columns: Sequence[str] | None = None, listwise: bool = False,
 ) -> DataFrame:
-    """(a, b, r) with a before b in column order, plus each column with itself.
+    """(a, b, r) for every pair of columns in column order, each column with itself included.
 
     Pairwise by default: each pair uses the rows where both are present.
-    `listwise` first drops every row with a NULL in any column. The pairs go
-    into single-pass aggregates of `batch` expressions each, small enough to
-    stay compiled.
+    `listwise` first drops every row with a NULL in any column. r is NULL where
+    a column does not vary.
+
+    One pass: each task reduces its rows to sums per pair, Spark adds those up.
+    As separate aggregate expressions the pairs would outgrow compiled code.
     """
     columns = list(columns) if columns is not None else numeric_columns(df)
     base = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     if listwise:
         base = complete_rows(base, columns)
-    pairs = [(c, c) for c in columns] + list(combinations(columns, 2))
-    out = None
-    for start in range(0, len(pairs), batch):
-        part = pairs[start:start + batch]
-        wide = base.agg(*[_corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(part)])
-        rows = [
-            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{i}").alias("r"))
-            for i, (a, b) in enumerate(part)
-        ]
-        long = wide.select(F.inline(F.array(*rows)))
-        out = long if out is None else out.unionByName(long)
-    return out
-
+    # Sums around the mean keep their digits.
+    means = base.agg(*[F.avg(c).alias(f"_mean_{c}") for c in columns])
+    centred = base.crossJoin(F.broadcast(means)).select(
+        *[(F.col(c) - F.col(f"_mean_{c}")).alias(c) for c in columns]
+    )
+    sums = centred.mapInPandas(_pair_sums, PAIR_SUMS).groupBy("i", "j").agg(
+        *[F.sum(s).alias(s) for s in ("n", "sx", "sy", "sxx", "syy", "sxy")]
+    )
+    per_row = F.greatest("n", F.lit(1.0))
+    vx, vy = F.col("sxx") - F.col("sx") * F.col("sx") / per_row, F.col("syy") - F.col("sy") * F.col("sy") / per_row
+    # What is left of a constant's squares is rounding noise.
+    varies = (vx > F.col("sxx") * 1e-12) & (vy > F.col("syy") * 1e-12)
+    r = (F.col("sxy") - F.col("sx") * F.col("sy") / per_row) / F.sqrt(vx * vy)
+    names = F.array(*[F.lit(c) for c in columns])
+    return sums.select(
+        F.get(names, F.col("i")).alias("a"), F.get(names, F.col("j")).alias("b"), F.when(varies, r).alias("r")
+    )
 
-def _corr(a: str, b: str) -> Column:
-    """Pearson's r over rows where both are present; NULL if either does not vary there.
 
-    Built from the co-moments, since `corr` itself divides by zero for a constant column.
-    """
-    spread = F.regr_sxx(a, b) * F.regr_syy(a, b)
-    return F.when(spread > 0, F.regr_sxy(a, b) / F.sqrt(spread))
+PAIR_SUMS = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
+
+
+def _pair_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Sums over the rows where both columns of a pair are present, for one task's rows."""
+    n = sx = sxx = sxy = None
+    for batch in batches:
+        values = batch.to_numpy(dtype="float64")
+        there = np.isfinite(values).astype("float64")
+        values = np.where(there > 0, values, 0.0)
+        parts = there.T @ there, values.T @ there, (values * values).T @ there, values.T @ values
+        n, sx, sxx, sxy = parts if n is None else (n + parts[0], sx + parts[1], sxx + parts[2], sxy + parts[3])
+    if n is not None:
+        i, j = np.triu_indices(n.shape[0])
+        yield pd.DataFrame({
+            "i": i.astype("int32"), "j": j.astype("int32"), "n": n[i, j], "sx": sx[i, j], "sy": sx[j, i],
+            "sxx": sxx[i, j], "syy": sxx[j, i], "sxy": sxy[i, j],
+        })
 
 
 def failure_window_trend(

@@ -226,7 +226,7 @@ def even_sample(pairs: DataFrame, points: int = 400) -> DataFrame:
     wanted = (
         placed.groupBy("model").agg(F.max("n_pairs").alias("n_pairs"))
         .select("model", "n_pairs", spacing.alias("_step"), F.explode(F.sequence(F.lit(0), k - 1)).alias("_i"))
-        .select("model", F.when(i == F.least("n_pairs", F.lit(points)) - 1, F.col("n_pairs") - 1)
+        .select("model", F.when((i > 0) & (i == F.least("n_pairs", F.lit(points)) - 1), F.col("n_pairs") - 1)
                 .otherwise(F.floor(i * F.col("_step"))).alias("pos"))
         .distinct()
     )

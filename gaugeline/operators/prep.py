@@ -83,25 +83,28 @@ def train_medians(rows: DataFrame, features: Sequence[str], exact: bool = True)
     return medians(train, features) if exact else approximate_medians(train, features)
 
 
-def impute(rows: DataFrame, features: Sequence[str], fills: DataFrame) -> DataFrame:
-    """NULL features to the fill of the same name; `fills` is one row."""
-    named = fills.select(*[F.col(c).alias(f"_fill_{c}") for c in features])
+def impute(rows: DataFrame, features: Sequence[str], fills: dict[str, float] | DataFrame) -> DataFrame:
+    """NULL features to their fill: known values, or a one-row table with a column per feature."""
     chosen = set(features)
-    out = [
-        F.coalesce(F.col(c), F.col(f"_fill_{c}")).alias(c) if c in chosen else F.col(c) for c in rows.columns
-    ]
-    return rows.crossJoin(F.broadcast(named)).select(*out)
+    if isinstance(fills, dict):
+        fill = {c: F.lit(fills.get(c)).cast("double") for c in features}
+    else:
+        named = fills.select(*[F.col(c).alias(f"_fill_{c}") for c in features])
+        fill = {c: F.col(f"_fill_{c}") for c in features}
+    filled = [F.coalesce(F.col(c), fill[c]).alias(c) if c in chosen else F.col(c) for c in rows.columns]
+    return (rows if isinstance(fills, dict) else rows.crossJoin(F.broadcast(named))).select(*filled)
 
 
-def saved_fills(rows: DataFrame, features: Sequence[str], saved: dict[str, float]) -> DataFrame:
-    """Fill row from saved medians; a feature they lack gets its train median, or 0 if that is not finite."""
+def saved_fills(rows: DataFrame, features: Sequence[str], saved: dict[str, float]) -> dict[str, float]:
+    """Saved medians; a feature they lack gets its train median, or 0 if that is not finite."""
+    fills = {c: saved[c] for c in features if c in saved}
     absent = [c for c in features if c not in saved]
-    known = [F.lit(None if saved[c] is None else float(saved[c])).cast("double").alias(c)
-             for c in features if c in saved]
-    if not absent:
-        return rows.sparkSession.range(1).select(*known)
-    computed = train_medians(rows, absent)
-    return computed.select(*known, *[F.coalesce(finite(c), F.lit(0.0)).alias(c) for c in absent])
+    if absent:
+        found = train_medians(rows, absent).select(
+            *[F.coalesce(finite(c), F.lit(0.0)).alias(c) for c in absent]
+        )
+        fills.update(found.first().asDict())
+    return fills
 
 
 def sequence_split(sequences: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from typing import Any
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import evaluate, models, prep
 from ..schema import LEAKAGE_COLUMNS, TARGET
@@ -25,7 +26,7 @@ class TrainingSet:
 
     rows: DataFrame
     features: list[str]
-    fills: DataFrame
+    fills: dict[str, float]
     cut: int
 
     @property
@@ -49,10 +50,10 @@ def training_set(
     """Matrix, time-ordered split and imputation, written once since fitting reads it many times."""
     matrix, features = prep.feature_matrix(table, target, ts, drop, time_of_day=time_of_day)
     split = stage(prep.time_split(matrix, ts, test_size, rule), "split")
-    fills = stage(prep.train_medians(split, features), "fills")
-    rows = stage(prep.impute(split, features, fills), "train")
-    cut = rows.select("cut").first()
-    return TrainingSet(rows, features, fills, int(cut["cut"]) if cut else 0)
+    known = split.agg(F.max("cut").alias("cut")).crossJoin(prep.train_medians(split, features)).first().asDict()
+    cut = int(known.pop("cut") or 0)
+    rows = stage(prep.impute(split, features, known), "train")
+    return TrainingSet(rows, features, known, cut)
 
 
 def default_models(target: str = TARGET, fast: bool = True) -> dict[str, Any]:
@@ -84,7 +85,7 @@ def save_artifacts(
         save_model(model, f"{folder}/models/{name}")
         write_report(models.importances(model, data.features, spark), folder, f"{name}_importances", stamped=False)
     save_record(spark, f"{folder}/feature_list", {"features": data.features})
-    save_record(spark, f"{folder}/train_medians", data.fills.first().asDict())
+    save_record(spark, f"{folder}/train_medians", data.fills)
     save_record(spark, f"{folder}/cut", {"cut": data.cut})
     save_split(data.rows, f"{folder}/split")
     write_report(evaluate.metrics(predictions), folder, "metrics", stamped=False)
