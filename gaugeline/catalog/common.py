@@ -28,8 +28,8 @@ def r6(c: Column | str) -> Column:
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    return df.select(*[
-        r6(f.name).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
+    return df.selectExpr(*[
+        f"round(`{f.name}` + {SHIFT!r}D, 6) AS `{f.name}`" if isinstance(f.dataType, T.DoubleType) else f"`{f.name}`"
         for f in df.schema.fields
     ])
 

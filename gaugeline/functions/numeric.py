@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -21,6 +21,12 @@ def finite(c: Column | str) -> Column:
     return F.when(ok, value)
 
 
+def finite_sql(column: str) -> str:
+    """`finite` as SQL text, for lists of many columns."""
+    value = f"CAST(`{column}` AS DOUBLE)"
+    return f"CASE WHEN NOT isnan({value}) AND abs({value}) <> DOUBLE('Infinity') THEN {value} END AS `{column}`"
+
+
 def zero_if_missing(c: Column) -> Column:
     """NULL and NaN to 0."""
     return F.coalesce(F.nanvl(c, F.lit(0.0)), F.lit(0.0))
@@ -58,3 +64,23 @@ def equal_width_bin(c: Column | str, low: Column, high: Column, bins: int) -> Co
     inside = F.least(F.greatest(raw, F.lit(0)), F.lit(bins - 1))
     placed = F.when(high > low, inside).otherwise(F.lit(bins // 2))
     return F.when(value.isNotNull(), placed).cast("int")
+
+
+def with_place(
+    df: DataFrame, out: str, value: Column | str, edges: str, most: int, include_equal: bool = True,
+) -> DataFrame:
+    """`out`: how many entries of the sorted array column `edges` lie at or below (or just below) the value.
+
+    Halving search over at most `most` entries, one projection per step, all of
+    it compiled; filtering the array would visit every entry for every row.
+    """
+    value = _col(value)
+    array = F.col(edges)
+    step = 1 << (max(most, 1).bit_length() - 1)
+    df = df.withColumn(out, F.lit(0))
+    while step:
+        entry = F.get(array, F.col(out) + F.lit(step - 1))
+        passed = entry <= value if include_equal else entry < value
+        df = df.withColumn(out, F.col(out) + F.when(passed, F.lit(step)).otherwise(F.lit(0)))
+        step //= 2
+    return df

@@ -14,6 +14,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .numeric import with_place
+
 RANGES = 64
 
 
@@ -39,7 +41,9 @@ def exact_percentiles(
     """(groups, feature, idx, p, value, n_values), linear between neighbouring ranks.
 
     `probs` is a list, or a function from the group's value count to an array
-    column when the wanted points depend on the count.
+    column when the wanted points depend on the count. `groups` are report
+    classes (models, failing or not): few enough that one row per group and
+    column can be broadcast.
     """
     groups = list(groups)
     series = [*groups, "feature"]
@@ -47,18 +51,15 @@ def exact_percentiles(
 
     marks = [i / ranges for i in range(1, ranges)]
     edges = counts.groupBy(*series).agg(
-        F.percentile_approx("value", marks, F.lit(20 * ranges)).alias("_edges")
-    )
-    ranged = counts.join(edges, series).select(
-        *series, "value", "n",
-        F.size(F.filter("_edges", lambda e: e <= F.col("value"))).alias("_range"),
+        F.percentile_approx("value", marks, F.lit(20 * ranges)).alias("_edges"), F.sum("n").alias("_total")
     )
+    # One row per series; a shuffle on so few keys would put each series into one task.
+    ranged = with_place(counts.join(F.broadcast(edges), series), "_range", "value", "_edges", ranges - 1).drop("_edges")
 
     before = Window.partitionBy(*series).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    totals = ranged.groupBy(*series, "_range").agg(F.sum("n").alias("_in")).select(
-        *series, "_range", "_in",
+    totals = ranged.groupBy(*series, "_range", "_total").agg(F.sum("n").alias("_in")).select(
+        *series, "_range", "_in", "_total",
         F.coalesce(F.sum("_in").over(before), F.lit(0)).alias("_before"),
-        F.sum("_in").over(Window.partitionBy(*series)).alias("_total"),
     )
 
     wanted = probs(F.col("_total")) if callable(probs) else F.array(*[F.lit(float(p)) for p in probs])
@@ -70,7 +71,7 @@ def exact_percentiles(
         .select("*", place.alias("_place"),
                 F.explode(F.array_distinct(F.array(F.floor(place), F.ceil(place)))).alias("_rank"))
         .filter(here)
-        .groupBy(*series, "_range", "_before", "_total")
+        .groupBy(*series, "_range", "_before")
         .agg(F.collect_list(F.struct("idx", "p", "_place", "_rank")).alias("_points"))
     )
 
@@ -78,7 +79,7 @@ def exact_percentiles(
     top = F.col("_before") + F.col("_upto")
     hit = lambda t: (t["_rank"] < top) & (t["_rank"] >= top - F.col("n"))
     found = (
-        ranged.join(targets, [*series, "_range"])
+        ranged.join(F.broadcast(targets), [*series, "_range"])
         .withColumn("_upto", F.sum("n").over(running))
         .select(*series, "value", "_total", F.inline(F.filter("_points", hit)))
     )

@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import finite
+from ..functions.numeric import finite_sql
 from ..functions.timebins import parse_time
 from ..schema import FAILURE_SIGNALS, GPS_COLUMNS, require_columns
 
@@ -62,7 +62,7 @@ def complete_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def finite_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """NaN and infinities to NULL in the given columns."""
     chosen = set(columns)
-    return df.select(*[finite(c).alias(c) if c in chosen else F.col(c) for c in df.columns])
+    return df.selectExpr(*[finite_sql(c) if c in chosen else f"`{c}`" for c in df.columns])
 
 
 def rescale(df: DataFrame, units: Mapping[str, tuple[float, float]]) -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import clip, edge_index_left, edge_index_right, equal_width_bin, finite
+from ..functions.numeric import clip, edge_index_left, edge_index_right, equal_width_bin, finite, with_place
 from ..functions.quantiles import exact_percentiles, percentile_arrays
 from ..schema import RUL_EDGES_LEFT, RUL_EDGES_RIGHT, RUL_LABELS
 from .eda import box_stats, first_rows
@@ -114,10 +114,9 @@ def calibration_curve(pairs: DataFrame, most_bins: int = 40) -> DataFrame:
     edges = percentile_arrays(usable, ["y_true"], marks, ["model"]).select(
         "model", F.array_distinct("q").alias("_edges")
     )
-    passed = F.size(F.filter("_edges", lambda e: e < F.col("y_true")))
+    placed = with_place(usable.join(F.broadcast(edges), "model"), "_passed", "y_true", "_edges", most_bins + 1, False)
     return (
-        usable.join(F.broadcast(edges), "model")
-        .groupBy("model", F.greatest(passed, F.lit(1)).alias("bin"))
+        placed.groupBy("model", F.greatest("_passed", F.lit(1)).alias("bin"))
         .agg(F.avg("y_true").alias("y_mean"), F.avg("y_pred").alias("yp_mean"), F.count(F.lit(1)).alias("n"))
     )
 

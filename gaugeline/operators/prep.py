@@ -87,12 +87,14 @@ def impute(rows: DataFrame, features: Sequence[str], fills: dict[str, float] | D
     """NULL features to their fill: known values, or a one-row table with a column per feature."""
     chosen = set(features)
     if isinstance(fills, dict):
-        fill = {c: F.lit(fills.get(c)).cast("double") for c in features}
+        known = {c: "NULL" if fills.get(c) is None else f"{float(fills[c])!r}D" for c in features}
+        source = rows
     else:
-        named = fills.select(*[F.col(c).alias(f"_fill_{c}") for c in features])
-        fill = {c: F.col(f"_fill_{c}") for c in features}
-    filled = [F.coalesce(F.col(c), fill[c]).alias(c) if c in chosen else F.col(c) for c in rows.columns]
-    return (rows if isinstance(fills, dict) else rows.crossJoin(F.broadcast(named))).select(*filled)
+        known = {c: f"`_fill_{c}`" for c in features}
+        source = rows.crossJoin(F.broadcast(fills.selectExpr(*[f"`{c}` AS `_fill_{c}`" for c in features])))
+    return source.selectExpr(*[
+        f"CAST(coalesce(`{c}`, {known[c]}) AS DOUBLE) AS `{c}`" if c in chosen else f"`{c}`" for c in rows.columns
+    ])
 
 
 def saved_fills(rows: DataFrame, features: Sequence[str], saved: dict[str, float]) -> dict[str, float]:

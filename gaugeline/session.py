@@ -16,6 +16,9 @@ def build_session(app_name: str = "gaugeline", **conf: str) -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # Wide feature plans: keep their compiled code, skip call-site capture per expression.
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

@@ -15,9 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..functions.numeric import with_place
+from ..functions.quantiles import percentile_arrays
 from ..functions.timebins import at_second, day_chunk, parse_time
 from ..operators.bins import bin_statistics
-from ..operators.clean import drop_without_gps, flag_failures
+from ..operators.clean import drop_without_gps, flag_failures, melt
+from ..operators.eda import summary_stats
 from ..operators.features import rolling_features
 from ..operators.ordered import running
 from ..session import new_path
@@ -148,9 +151,6 @@ def run_fresh(stream: DataFrame, label: str) -> DataFrame:
 
 def drift_profile(train: DataFrame, features: Sequence[str], buckets: int = 10) -> DataFrame:
     """(feature, mean, std, edges) of the train side; edges are its inner quantiles."""
-    from ..functions.quantiles import percentile_arrays
-    from ..operators.eda import summary_stats
-
     marks = [i / buckets for i in range(1, buckets)]
     edges = percentile_arrays(train, features, marks).select("feature", F.array_distinct("q").alias("edges"))
     stats = summary_stats(train, features).select("feature", "mean", F.col("stddev").alias("std"))
@@ -167,14 +167,12 @@ def feature_drift(
     train-quantile bucket, with empty shares raised to `floor`. A label is
     tracked by naming it among the features.
     """
-    from ..operators.clean import melt
-
     profile = F.broadcast(drift_profile(train, features, buckets))  # one row per feature
-    place = F.size(F.filter("edges", lambda e: e < F.col("value")))
 
     def counted(source: DataFrame, keys: list[str]) -> DataFrame:
         long = melt(source, features, keys).filter(F.col("value").isNotNull() & ~F.isnan("value"))
-        return long.join(profile, "feature").groupBy("feature", *keys, place.alias("bucket"))
+        placed = with_place(long.join(profile, "feature"), "bucket", "value", "edges", buckets, False)
+        return placed.groupBy("feature", *keys, "bucket")
 
     expected = counted(train, []).agg(F.count(F.lit(1)).alias("_e"))
     daily = counted(rows.withColumn("day", F.to_date(ts)), ["day"]).agg(
