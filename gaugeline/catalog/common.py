@@ -56,7 +56,7 @@ def unit_bins_view(spark: SparkSession, sf_dir: str, bin_minutes: int = 60) -> D
 
 def pairs_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deterministic predictions: `lag` repeats the previous bin's life, `const` the overall median."""
-    labelled = only_defined(labelled_bins(sensor_view(spark, sf_dir)).drop("pos"))
+    labelled = only_defined(labelled_bins(sensor_view(spark, sf_dir)))
     life = running(labelled.select("timestamp_bin", "RUL_minutes"), "timestamp_bin",
                    day_chunk("timestamp_bin"), position="key")
     life = stage(life, "life")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
@@ -29,6 +29,14 @@ def rolling_features(
 
     Missing results are 0, also where a NULL inside the series causes them.
     """
+    build = rolling_columns(bins, rows_back, roll_minutes)
+    return with_halo(bins, position, rows_back, build, parts, block_rows)
+
+
+def rolling_columns(
+    bins: DataFrame, rows_back: int, roll_minutes: int,
+) -> Callable[[WindowSpec], list[Column]]:
+    """The expressions of `rolling_features` for a given ordered window."""
     bases = keep_existing(bins, KEY_SIGNALS)
 
     def build(window: WindowSpec) -> list[Column]:
@@ -45,7 +53,7 @@ def rolling_features(
             ]
         return out
 
-    return with_halo(bins, position, rows_back, build, parts, block_rows)
+    return build
 
 
 def time_range_rolling(

@@ -14,6 +14,16 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 BLOCK_ROWS = 4096
+# Keyed series up to this length may be windowed whole, one task per key.
+WHOLE_ROWS = 500_000
+
+
+def fits_whole(df: DataFrame, parts: Sequence[str], limit: int = WHOLE_ROWS) -> bool:
+    """Whether there are keys and no key's series is longer than `limit` (counted now)."""
+    if not parts:
+        return False
+    sizes = df.groupBy(*parts).agg(F.count(F.lit(1)).alias("n"))
+    return (sizes.agg(F.max("n")).first()[0] or 0) <= limit
 
 
 def running(

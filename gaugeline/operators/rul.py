@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timebins import day_chunk, hours_between, minutes_between
@@ -25,6 +25,18 @@ def add_failure_times(
     )
 
 
+def failure_time_columns(parts: Sequence[str], ts: str = "timestamp_bin") -> list[Column]:
+    """The same two times from windows over whole series, for series known to fit a task."""
+    failing = F.when(F.col("failure") == 1, F.col(ts))
+    forward = Window.partitionBy(*parts).orderBy(F.col(ts).asc_nulls_first())
+    mirrored = Window.partitionBy(*parts).orderBy(F.col(ts).desc_nulls_last())
+    upto = (Window.unboundedPreceding, 0)
+    return [
+        F.min(failing).over(mirrored.rowsBetween(*upto)).alias("next_failure_time"),
+        F.max(failing).over(forward.rowsBetween(*upto)).alias("last_failure_time"),
+    ]
+
+
 def add_rul(bins: DataFrame, ts: str = "timestamp_bin", cap_minutes: float | None = None) -> DataFrame:
     """`RUL_minutes` (0 on failure, NULL after the last one) and `minutes_since_last_failure`."""
     left = minutes_between("next_failure_time", ts)
