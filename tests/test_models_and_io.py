@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import pytest
 from gaugeline import session
 from gaugeline.operators import kpi, models, prep
@@ -106,6 +108,16 @@ def test_shared_dir_comes_from_the_session(spark):
     assert session.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
 
 
+def test_shared_dir_without_setting():
+    def bare(master):
+        context = SimpleNamespace(master=master, applicationId="app-1")
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context)
+
+    assert session.shared_dir(bare("local[2]")) == session.shared_dir(bare("local[2]"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(bare("yarn"))
+
+
 def test_risk_bands_and_actions(spark):
     df = spark.createDataFrame([(v,) for v in (0.0, 119.9, 120.0, 480.0, 481.0, 1440.0, 1441.0, None)], "RUL_minutes double")
     out = kpi.add_risk(df).collect()
