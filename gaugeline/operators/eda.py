@@ -86,14 +86,16 @@ def histogram(
 ) -> DataFrame:
     """(groups, feature, bin, low, high, n): equal-width counts of non-missing values.
 
-    Each (group, feature) has its own range; empty bins are left out.
+    Each (group, feature) has its own range; empty bins are left out. Groups are
+    report classes, so few.
     """
     groups = list(groups)
     series = [*groups, "feature"]
     long = melt(df, columns, groups).filter(F.col("value").isNotNull() & ~F.isnan("value"))
     ranges = long.groupBy(*series).agg(F.min("value").alias("_low"), F.max("value").alias("_high"))
     where = equal_width_bin("value", F.col("_low"), F.col("_high"), bins)
-    counted = long.join(ranges, series).groupBy(*series, "_low", "_high", where.alias("bin")).agg(
+    # One row per group and feature; a shuffle on so few keys would be all skew.
+    counted = long.join(F.broadcast(ranges), series).groupBy(*series, "_low", "_high", where.alias("bin")).agg(
         F.count(F.lit(1)).alias("n")
     )
     width = (F.col("_high") - F.col("_low")) / F.lit(float(bins))
@@ -116,7 +118,7 @@ def box_stats(df: DataFrame, columns: Sequence[str], groups: Sequence[str] = ())
     q1, q3 = F.col("q")[0], F.col("q")[2]
     low, high = q1 - (q3 - q1) * 1.5, q3 + (q3 - q1) * 1.5
     value = F.col("value")
-    stats = long.join(quartiles, series).groupBy(*series, "q").agg(
+    stats = long.join(F.broadcast(quartiles), series).groupBy(*series, "q").agg(
         F.min(F.when(value >= low, value)).alias("_low"),
         F.max(F.when(value <= high, value)).alias("_high"),
         F.count(F.when((value < low) | (value > high), 1)).alias("outliers"),
