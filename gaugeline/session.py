@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,23 +25,11 @@ def build_session(app_name: str = "gaugeline", **conf: str) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (`spark.checkpoint.dir`).
-
-    A machine-local folder is only made up when the master itself is local,
-    since other hosts could not read it.
-    """
+    """The cluster's shared folder (`spark.checkpoint.dir`), else one below the warehouse folder."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    return _local_folder(context.applicationId)
-
-
-@lru_cache(maxsize=None)
-def _local_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix="gaugeline-")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staged"
 
 
 def new_path(spark: SparkSession, label: str) -> str:
