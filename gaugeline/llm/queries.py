@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, sharding
+from . import decontam, mixing, ngram_rules, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,8 +23,19 @@ def op5_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_records(table(spark, sf_dir, "documents"), [1.0] * 8).withColumn("law", F.lit("key"))
 
 
+def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+
+
+def op9_ngram_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pareto_mix, op5_rendezvous_shards)}
+    return {f.__name__: f for f in (op1_pareto_mix, op5_rendezvous_shards, op7_winnowing, op9_ngram_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
