@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, mixing, ngram_rules, sharding
+from . import decontam, mixing, ngram_rules, setsketch, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op2_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eight shards of equal weight, and the shard each row would have with nine."""
     return sharding.shard_records(table(spark, sf_dir, "documents"), [1.0] * 8).withColumn("law", F.lit("key"))
@@ -35,7 +39,7 @@ def op9_ngram_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pareto_mix, op5_rendezvous_shards, op7_winnowing, op9_ngram_rules)}
+    return {f.__name__: f for f in (op1_pareto_mix, op2_setsketch, op5_rendezvous_shards, op7_winnowing, op9_ngram_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
