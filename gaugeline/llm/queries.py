@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, mixing, ngram_rules, setsketch, sharding
+from ..session import stage
+from . import chat, decontam, mixing, ngram_rules, setsketch, sharding, tokenfiles, warczip
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,11 +23,29 @@ def op2_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_token_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts are control strings."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], turns.schema)
+    return chat.read_back(stage(chat.format_turns(turns.unionByName(extra)), "formatted"))
+
+
+def op4_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warczip.read_records(warczip.write_archives(table(spark, sf_dir, "pages")))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eight shards of equal weight, and the shard each row would have with nine."""
     return sharding.shard_records(table(spark, sf_dir, "documents"), [1.0] * 8).withColumn("law", F.lit("key"))
 
 
+def op6_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = tokenfiles.write_shards(table(spark, sf_dir, "documents"))
+    return tokenfiles.read_documents(manifest).withColumnRenamed("key", "doc_id")
+
+
 def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -39,7 +58,8 @@ def op9_ngram_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pareto_mix, op2_setsketch, op5_rendezvous_shards, op7_winnowing, op9_ngram_rules)}
+    return {f.__name__: f for f in (op1_pareto_mix, op2_setsketch, op3_token_chat, op4_zip_warc, op5_rendezvous_shards,
+                                      op6_token_shards, op7_winnowing, op9_ngram_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
