@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import stage
-from . import chat, decontam, mixing, ngram_rules, setsketch, sharding, tokenfiles, warczip
+from . import attention_lm, chat, decontam, mil_quality, mixing, ngram_rules, setsketch, sharding, tokenfiles, warczip
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,13 +53,25 @@ def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
 
 
+def op8_attention_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = mil_quality.train(docs, labels, ~mil_quality.held_out("doc_id"))
+    scored = mil_quality.score(docs, model)
+    return scored.select("doc_id", mil_quality.held_out("doc_id").alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_ngram_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention_lm.lm_scores(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_pareto_mix, op2_setsketch, op3_token_chat, op4_zip_warc, op5_rendezvous_shards,
-                                      op6_token_shards, op7_winnowing, op9_ngram_rules)}
+                                      op6_token_shards, op7_winnowing, op8_attention_mil, op9_ngram_rules, op10_attention_lm)}
 
 
 def oracle_sql() -> dict[str, str]:
