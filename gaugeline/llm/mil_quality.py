@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import key_text, named, text_or_empty
-from .rows import by_batch
+from .rows import by_batch, kept_rows
 
 BUCKETS = 512
 RATIOS = 8
@@ -229,8 +229,6 @@ def good_rows(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     """Rows of `docs` that score `least` or more; columns as in `docs`."""
     model = train(docs, labels, ~held_out(key), key, text)
 
-    def make(batch: dict[str, list]) -> dict[str, list]:
-        keep = [forward(model, passages(t, 64), np.zeros(1, int))[0][0] >= least for t in batch[text]]
-        return {c: [v for v, k in zip(values, keep) if k] for c, values in batch.items()}
-    ddl = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in docs.columns)
-    return by_batch(docs, make, ddl)
+    def good(texts: list) -> list[bool]:
+        return [bool(forward(model, passages(t, 64), np.zeros(1, int))[0][0] >= least) for t in texts]
+    return kept_rows(docs, good, text)

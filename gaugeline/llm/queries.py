@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from ..session import stage
 from . import attention_lm, chat, decontam, mil_quality, mixing, ngram_rules, setsketch, sharding, tokenfiles, warczip
 
@@ -70,8 +72,9 @@ def op10_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pareto_mix, op2_setsketch, op3_token_chat, op4_zip_warc, op5_rendezvous_shards,
+    made = {f.__name__: f for f in (op1_pareto_mix, op2_setsketch, op3_token_chat, op4_zip_warc, op5_rendezvous_shards,
                                       op6_token_shards, op7_winnowing, op8_attention_mil, op9_ngram_rules, op10_attention_lm)}
+    return {**made, "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -23,3 +23,16 @@ def by_batch(df: DataFrame, make: Callable[[dict[str, list]], dict[str, list]],
                 made = make(batch.slice(at, 500).to_pydict())
                 yield pa.RecordBatch.from_arrays([pa.array(made[f.name], f.type) for f in arrow], schema=arrow)
     return df.mapInArrow(run, schema)
+
+
+def kept_rows(df: DataFrame, test: Callable[[list], list[bool]], column: str) -> DataFrame:
+    """Rows whose value of `column` passes `test`, given as a list per batch; all columns stay as they are."""
+    importable(df.sparkSession)
+    at = df.columns.index(column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, 500):
+                part = batch.slice(first, 500)
+                yield part.filter(pa.array(test(part.column(at).to_pylist()), pa.bool_()))
+    return df.mapInArrow(run, df.schema)
