@@ -185,7 +185,8 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id"
     for value in (0, 1):
         own = usable.where(F.col("_label") == value).orderBy(*order).limit(part if shares[value] == rare else fit_rows - part)
         chosen = own if chosen is None else chosen.unionByName(own)
-    sample = docs.join(F.broadcast(chosen), named(key) == F.col("_key")).select("_key", text_or_empty(text).alias("_text"), "_label")
+    texts = docs.select(named(key).alias("_own"), text_or_empty(text).alias("_text"))
+    sample = texts.join(F.broadcast(chosen), F.col("_own") == F.col("_key")).select("_key", "_text", "_label")
 
     def make(batch: dict[str, list]) -> dict[str, list]:
         bags = []

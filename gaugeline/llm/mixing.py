@@ -75,8 +75,8 @@ def _scaled(rows: DataFrame, targets: DataFrame) -> DataFrame:
     classes = _with_plan(rows.groupBy("source", "class").agg(F.sum("size").alias("words")), plan)
     above = Window.partitionBy("source").orderBy(F.desc("class")).rowsBetween(Window.unboundedPreceding, -1)
     below = Window.partitionBy("source").orderBy("class").rowsBetween(Window.unboundedPreceding, 0)
-    scale = (F.col("rest") - F.coalesce(F.sum("words").over(above), F.lit(0))) / \
-        F.sum(F.col("class") * F.col("words")).over(below)
+    scale = F.try_divide(F.col("rest") - F.coalesce(F.sum("words").over(above), F.lit(0)),
+                         F.sum(F.col("class") * F.col("words")).over(below))
     fitting = classes.withColumn("scale", scale).where(F.col("scale") * F.col("class") <= 1)
     best = fitting.groupBy("source").agg(F.max_by("scale", "class").alias("scale"), F.max("class").alias("top"))
     best = best.withColumnRenamed("source", "_s")

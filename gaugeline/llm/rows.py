@@ -35,4 +35,5 @@ def kept_rows(df: DataFrame, test: Callable[[list], list[bool]], column: str) ->
             for first in range(0, batch.num_rows, 500):
                 part = batch.slice(first, 500)
                 yield part.filter(pa.array(test(part.column(at).to_pylist()), pa.bool_()))
-    return df.mapInArrow(run, df.schema)
+    plain = df.toDF(*[f"c{n}" for n in range(len(df.columns))])  # names with dots cannot be passed on
+    return plain.mapInArrow(run, plain.schema).toDF(*df.columns)
