@@ -11,13 +11,14 @@ registers get likelier with similarity.
 2. Bands of registers are join keys. Every class in a bucket is paired with the bucket's pivot only.
 3. Pairs are judged by the joint likelihood of their register comparisons and, where
    that leaves `target` possible, confirmed on the full sets.
-4. Confirmed links give components. A bucket whose members all lie in one component is done; in the others the
-   pivot, now compared with all, steps out and the next one is taken, until none is left. When the
-   buckets get many rounds old, the rest is compared block against block on registers, in tasks of
-   bounded size. So no pairs within a group are written, and no bucket or partner is capped.
+4. Confirmed links give components. A bucket whose other members all lie in one component is done; in the
+   others all members are compared on registers, block against block, in tasks of bounded size. So no
+   pairs within a group are written but likely ones, and no bucket or partner is capped.
 
-Recall: with 40 bands of 5 registers a pair at similarity 0.85 shares no bucket with probability
-7e-11, and the likelihood step, 0.12 below the target, loses one in about a million.
+Recall: with 40 bands of 7 registers a pair at similarity 0.85 shares no bucket with probability
+2e-7, and the likelihood step, 0.09 or four deviations below the target, loses one in about 30,000;
+either matters only where no other link joins the two. Each bucket has a pivot of its own (by a hash),
+so that a large group is joined by many stars at once.
 
 Defined cases: null, empty or blank texts have an empty set and link with nothing; fewer words than a shingle
 make one shingle of them all; rows that repeat an id belong to one document if the texts are
@@ -110,12 +111,21 @@ def _log_likelihoods(counts: tuple[np.ndarray, np.ndarray, np.ndarray], share: n
 
 
 def likely_similar(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, least: float) -> np.ndarray:
-    """Whether the likeliest similarity of each pair of register rows is `least` or more (on a grid of 0.01)."""
-    counts = tuple((f(a, b)).sum(-1).astype(float) for f in (np.greater, np.less, np.equal))
-    share = n_a / (n_a + n_b)
+    """Whether the likeliest similarity of each pair of register rows is `least` or more (on a grid of 0.01).
+
+    Pairs whose share of equal registers is 0.1 below `least`, seven deviations off, are ruled out beforehand.
+    """
+    equal = (a == b).sum(-1)
+    good = equal >= (least - 0.1) * a.shape[-1]
+    a, b = (rows[good] for rows in np.broadcast_arrays(a, b))
+    share = n_a[good] / (n_a[good] + n_b[good])
+    larger = (a > b).sum(-1).astype(float)
+    counts = (larger, a.shape[-1] - larger - equal[good], equal[good].astype(float))
     grid = np.arange(0.0, 1.0, 0.01)
-    best = np.argmax(np.stack([_log_likelihoods(counts, share, j) for j in grid]), axis=0)
-    return grid[best] >= least
+    if len(share):
+        best = np.argmax(np.stack([_log_likelihoods(counts, share, j) for j in grid]), axis=0)
+        good[good] = grid[best] >= least
+    return good
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -191,7 +201,7 @@ class _Finder:
         """Pairs whose full sets are similar enough. Only texts named by a pair are read into sets."""
         pairs = stage(self.likely(pairs), "likely")
         words, percent = self.words, self.percent
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
 
         def sets(batch: dict[str, list]) -> dict[str, list]:
             return {"id": batch["id"], "set": [shingles(t, words).tobytes() for t in batch["text"]]}
@@ -224,35 +234,45 @@ def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _blocks(members: DataFrame, classes: DataFrame, finder: _Finder, side: int) -> DataFrame:
-    """Pairs in different components, of all that share a bucket, found on registers block by block."""
-    placed = members.withColumn("h", F.xxhash64("id"))
-    count = members.groupBy("bucket").agg(F.ceil(F.count("*") / side).cast("int").alias("blocks"))
-    cut = placed.join(count, "bucket").withColumn("block", F.pmod("h", "blocks").cast("int"))
-    crossed = cut.select("bucket", "id", "label", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    keyed = crossed.select("bucket", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "id", "label")
+    """Pairs in different components, of all that share a bucket, found on registers block by block.
+
+    A bucket's members are cut into blocks of about `side`, those of its commonest component apart from the rest;
+    blocks of the rest meet every block, those of the commonest component do not meet each other.
+    """
+    main = members.groupBy("bucket").agg(F.mode("label", True).alias("main"))
+    cut = members.join(main, "bucket").withColumn("rest", F.col("label") != F.col("main"))
+    count = members.join(main, "bucket").groupBy("bucket", "main").agg(
+        F.ceil(F.count_if(F.col("label") != F.col("main")) / side).cast("int").alias("others"),
+        F.ceil(F.count_if(F.col("label") == F.col("main")) / side).cast("int").alias("mains")).drop("main")
+    own = F.when(F.col("rest"), F.pmod(F.xxhash64("id"), "others")).otherwise(
+        F.col("others") + F.pmod(F.xxhash64("id"), "mains")).cast("int")
+    last = F.when(F.col("rest"), F.col("others") + F.col("mains")).otherwise(F.col("others")) - 1
+    met = cut.join(count, "bucket").select(
+        "bucket", "id", "label", own.alias("block"), F.explode(F.sequence(F.lit(0), last)).alias("other"))
+    keyed = met.select("bucket", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "id", "label")
     full = keyed.join(classes.select("id", "n_shingles", "registers"), "id")
     m, least, percent = finder.m, finder.percent / 100 - finder.margin, finder.percent
 
     def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
+        table = np.frombuffer(b"".join(pdf["registers"]), np.uint16).reshape(-1, m)
+        ids, tags, sizes = (pdf[c].to_numpy() for c in ("id", "label", "n_shingles"))
+        x, y = pdf["x"].iloc[0], pdf["y"].iloc[0]
+        right = np.flatnonzero(pdf["block"] == y)
         found = []
-        left = pdf[pdf["block"] == pdf["x"].iloc[0]]
-        right = pdf[pdf["block"] == pdf["y"].iloc[0]]
-        table = np.frombuffer(b"".join(right["registers"]), np.uint16).reshape(-1, m) if len(right) else None
-        ids, tags, sizes = (right[c].to_numpy() for c in ("id", "label", "n_shingles"))
-        for row in left.itertuples():
-            near = np.flatnonzero((ids > row.id) if pdf["x"].iloc[0] == pdf["y"].iloc[0] else (ids != row.id))
-            near = near[(tags[near] != row.label) & (100 * np.minimum(sizes[near], row.n_shingles) >= percent * np.maximum(sizes[near], row.n_shingles))]
+        for n in np.flatnonzero(pdf["block"] == x):
+            near = right[(ids[right] > ids[n]) if x == y else (ids[right] != ids[n])]
+            low, high = np.minimum(sizes[near], sizes[n]), np.maximum(sizes[near], sizes[n])
+            near = near[(tags[near] != tags[n]) & (100 * low >= percent * high)]
             if len(near):
-                mine = np.frombuffer(row.registers, np.uint16)[None, :]
-                good = likely_similar(mine, table[near], np.full(len(near), float(row.n_shingles)), sizes[near].astype(float), least)
-                found += [(min(row.id, o), max(row.id, o)) for o in ids[near[good]]]
+                good = likely_similar(table[n][None, :], table[near], np.full(len(near), float(sizes[n])), sizes[near].astype(float), least)
+                found += [(min(ids[n], o), max(ids[n], o)) for o in ids[near[good]]]
         return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
     return full.groupBy("bucket", "x", "y").applyInPandas(pairs, "a long, b long").distinct()
 
 
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 85, bands: int = 40,
-    rows_per_band: int = 5, margin: float = 0.12, pivot_rounds: int = 2, block: int = 256,
+    rows_per_band: int = 7, margin: float = 0.09, block: int = 256,
 ) -> DataFrame:
     """Per row: key, `n_shingles`, `component_id`, `kept`."""
     made = stage(sketches(docs, key, text, words, bands * rows_per_band, rows_per_band), "sketches")
@@ -261,18 +281,12 @@ def near_duplicates(
         F.min("id").alias("id"), F.min_by("registers", "id").alias("registers"), F.min_by("bands", "id").alias("bands")), "classes")
     texts = docs.select(named(key).cast("long").alias("id"), named(text).cast("string").alias("text"))
     finder = _Finder(docs, classes, texts, bands * rows_per_band, words, percent, margin)
-    members = classes.select("id", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.min("id").alias("pivot"), F.count("*").alias("n")).where("n > 1")
+    members = classes.select("id", F.explode("bands").alias("bucket")).repartition("bucket")  # one shuffle serves both sides
+    shared = members.groupBy("bucket").agg(
+        F.min_by("id", F.xxhash64("id", "bucket")).alias("pivot"), F.count("*").alias("n")).where("n > 1")
     members = stage(members.join(shared, "bucket").select("bucket", "id", "pivot"), "members")
-    labels = finder.add(members.where("id > pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct())
-    for turn in range(pivot_rounds):
-        rest = members.where("id <> pivot").select("bucket", "id")
-        members = stage(_open(rest, labels), "open")
-        if turn + 1 == pivot_rounds or not members.limit(1).count():
-            break
-        chosen = members.groupBy("bucket").agg(F.min(F.struct("id", "label")).alias("p"))
-        members = stage(members.join(chosen, "bucket").select("bucket", "id", "label", F.col("p.id").alias("pivot"), F.col("p.label").alias("own")), "members")
-        labels = finder.add(members.where("label <> own").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct())
+    labels = finder.add(members.where("id <> pivot").select(F.least("pivot", "id").alias("a"), F.greatest("pivot", "id").alias("b")).distinct())
+    members = stage(_open(members.where("id <> pivot").select("bucket", "id"), labels), "open")
     if members.limit(1).count():
         labels = finder.add(_blocks(members, classes, finder, block))
     groups = classes.join(labels, classes["id"] == labels["node"], "left").select(
