@@ -43,6 +43,7 @@ STEP = np.uint64(0xD1B54A32D192ED03)
 BASE = 1.001
 TOP = 65534
 WORD_CACHE = 500_000
+SLACK = 0.1
 
 
 class _WordHashes(dict):
@@ -111,17 +112,17 @@ def _log_likelihoods(counts: tuple[np.ndarray, np.ndarray, np.ndarray], share: n
 
 
 def likely_similar(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, least: float) -> np.ndarray:
-    """Whether the likeliest similarity of each pair of register rows is `least` or more (on a grid of 0.01).
+    """Whether the likeliest similarity of each pair of register rows is `least` or more (on a grid from 0.4 in steps of 0.01).
 
-    Pairs whose share of equal registers is 0.1 below `least`, seven deviations off, are ruled out beforehand.
+    Pairs whose share of equal registers is SLACK below `least`, seven deviations off, are ruled out beforehand.
     """
     equal = (a == b).sum(-1)
-    good = equal >= (least - 0.1) * a.shape[-1]
+    good = equal >= (least - SLACK) * a.shape[-1]
     a, b = (rows[good] for rows in np.broadcast_arrays(a, b))
     share = n_a[good] / (n_a[good] + n_b[good])
     larger = (a > b).sum(-1).astype(float)
     counts = (larger, a.shape[-1] - larger - equal[good], equal[good].astype(float))
-    grid = np.arange(0.0, 1.0, 0.01)
+    grid = np.arange(0.4, 1.0, 0.01)
     if len(share):
         best = np.argmax(np.stack([_log_likelihoods(counts, share, j) for j in grid]), axis=0)
         good[good] = grid[best] >= least
@@ -257,16 +258,24 @@ def _blocks(members: DataFrame, classes: DataFrame, finder: _Finder, side: int)
         table = np.frombuffer(b"".join(pdf["registers"]), np.uint16).reshape(-1, m)
         ids, tags, sizes = (pdf[c].to_numpy() for c in ("id", "label", "n_shingles"))
         x, y = pdf["x"].iloc[0], pdf["y"].iloc[0]
-        right = np.flatnonzero(pdf["block"] == y)
-        found = []
-        for n in np.flatnonzero(pdf["block"] == x):
+        left, right = (np.flatnonzero(pdf["block"] == v) for v in (x, y))
+        first, second = [], []
+        for n in left:  # rule out by size, component and equal registers, row by row
             near = right[(ids[right] > ids[n]) if x == y else (ids[right] != ids[n])]
             low, high = np.minimum(sizes[near], sizes[n]), np.maximum(sizes[near], sizes[n])
             near = near[(tags[near] != tags[n]) & (100 * low >= percent * high)]
-            if len(near):
-                good = likely_similar(table[n][None, :], table[near], np.full(len(near), float(sizes[n])), sizes[near].astype(float), least)
-                found += [(min(ids[n], o), max(ids[n], o)) for o in ids[near[good]]]
-        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+            near = near[(table[near] == table[n]).sum(1) >= (least - SLACK) * m]
+            first.append(np.full(len(near), n))
+            second.append(near)
+        first, second = np.concatenate([*first, np.empty(0, int)]).astype(int), np.concatenate([*second, np.empty(0, int)]).astype(int)
+        found = []
+        for at in range(0, len(first), 4096):
+            f, g = first[at:at + 4096], second[at:at + 4096]
+            good = likely_similar(table[f], table[g], sizes[f].astype(float), sizes[g].astype(float), least)
+            found.append(np.sort(np.stack([ids[f[good]], ids[g[good]]], axis=1), axis=1))
+        return pd.DataFrame(np.concatenate([*found, np.empty((0, 2), np.int64)]).astype(np.int64), columns=["a", "b"])
+    tasks = int(full.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # small rows, long work: not to be coalesced
+    full = full.repartition(tasks, "bucket", "x", "y")
     return full.groupBy("bucket", "x", "y").applyInPandas(pairs, "a long, b long").distinct()
 
 
