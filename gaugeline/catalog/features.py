@@ -307,52 +307,66 @@ def failure_hours(spark, sf_dir):
     return clean.distinct_values(clean.only_failures(by_hour), "timestamp_hour", 3)
 
 
-@entry("sample_rows")
+@entry("sample_rows", with_(SENSOR) + """
+SELECT reading_id, unit_id FROM sensor
+WHERE ('0x' || substr(md5('42:' || reading_id), 1, 13))::BIGINT < 0.1 * 4503599627370496""")
 def sample_rows(spark, sf_dir):
-    return clean.sample_rows(sensor_view(spark, sf_dir))
+    return clean.sample_rows(sensor_view(spark, sf_dir), keys=["reading_id"]).select("reading_id", "unit_id")
 
 
 # ---- reliability and status --------------------------------------------------
 
-UNIT_LIFE = with_(SENSOR, bins_sql(60, True), rul_sql(True))
-BAND = """CASE WHEN RUL_minutes < 120 THEN 'Critical' WHEN RUL_minutes <= 480 THEN 'High'
-          WHEN RUL_minutes <= 1440 THEN 'Medium' WHEN RUL_minutes IS NOT NULL THEN 'Low' END"""
+UNIT_LIFE = with_(SENSOR, bins_sql(60, True), rul_sql(True), """
+aged AS (SELECT *, floor(minutes_since_last_failure / 360) AS age FROM life),
+life_table AS (SELECT age, avg(RUL_minutes) AS mean_minutes FROM aged WHERE RUL_minutes IS NOT NULL GROUP BY 1),
+predicted AS (
+  SELECT aged.*, coalesce(t.mean_minutes, (SELECT avg(mean_minutes) FROM life_table)) AS predicted_minutes
+  FROM aged LEFT JOIN life_table t ON aged.age IS NOT DISTINCT FROM t.age
+)""")
+BAND = """CASE WHEN predicted_minutes < 120 THEN 'Critical' WHEN predicted_minutes <= 480 THEN 'High'
+          WHEN predicted_minutes <= 1440 THEN 'Medium' WHEN predicted_minutes IS NOT NULL THEN 'Low' END"""
 ACTION = """CASE risk_band
-  WHEN 'Critical' THEN 'swap unit within ' || floor(RUL_minutes)::BIGINT || ' minutes'
-  WHEN 'High' THEN 'schedule at next terminal within ' || floor(RUL_minutes)::BIGINT || ' minutes'
-  WHEN 'Medium' THEN 'plan within ' || floor(RUL_minutes)::BIGINT || ' minutes'
+  WHEN 'Critical' THEN 'swap unit within ' || floor(predicted_minutes)::BIGINT || ' minutes'
+  WHEN 'High' THEN 'schedule at next terminal within ' || floor(predicted_minutes)::BIGINT || ' minutes'
+  WHEN 'Medium' THEN 'plan within ' || floor(predicted_minutes)::BIGINT || ' minutes'
   WHEN 'Low' THEN 'monitor' END"""
-STATUS_COLUMNS = ["unit_id", "timestamp_bin", "RUL_minutes", "risk_band", "action"]
+STATUS_COLUMNS = ["unit_id", "timestamp_bin", "predicted_minutes", "risk_band", "action"]
+
+
+def _predicted(spark, sf_dir):
+    """Hourly bins per unit with the life a life table predicts for them."""
+    rows = stage(unit_bins_view(spark, sf_dir), "unit-life")
+    return rounded(rul.predict_life(rows, rul.life_table(rows)))
 
 
 @entry("risk_bands", UNIT_LIFE + f"""
-SELECT unit_id, timestamp_bin, {q6('RUL_minutes')} AS RUL_minutes, risk_band, {ACTION} AS action
-FROM (SELECT *, {BAND} AS risk_band FROM life)""")
+SELECT unit_id, timestamp_bin, {q6('predicted_minutes')} AS predicted_minutes, risk_band, {ACTION} AS action
+FROM (SELECT *, {BAND} AS risk_band FROM predicted)""")
 def risk_bands(spark, sf_dir):
-    return rounded(kpi.add_risk(unit_bins_view(spark, sf_dir)).select(*STATUS_COLUMNS))
+    return kpi.add_risk(_predicted(spark, sf_dir), "predicted_minutes").select(*STATUS_COLUMNS)
 
 
 LATEST = f"""
-SELECT unit_id, timestamp_bin, {q6('RUL_minutes')} AS RUL_minutes, risk_band, {ACTION} AS action FROM (
+SELECT unit_id, timestamp_bin, {q6('predicted_minutes')} AS predicted_minutes, risk_band, {ACTION} AS action FROM (
   SELECT *, {BAND} AS risk_band FROM (
-    SELECT *, row_number() OVER (PARTITION BY unit_id ORDER BY timestamp_bin DESC) AS rn FROM life) WHERE rn = 1)"""
+    SELECT *, row_number() OVER (PARTITION BY unit_id ORDER BY timestamp_bin DESC) AS rn FROM predicted) WHERE rn = 1)"""
 
 
 @entry("latest_status", UNIT_LIFE + LATEST)
 def latest_status(spark, sf_dir):
-    return rounded(kpi.status_board(unit_bins_view(spark, sf_dir)).select(*STATUS_COLUMNS))
+    return kpi.status_board(_predicted(spark, sf_dir)).select(*STATUS_COLUMNS)
 
 
 @entry("worklist", UNIT_LIFE + f"SELECT * FROM ({LATEST}) WHERE risk_band IN ('Critical', 'High')")
 def worklist(spark, sf_dir):
-    return rounded(kpi.worklist(unit_bins_view(spark, sf_dir)).select(*STATUS_COLUMNS))
+    return kpi.worklist(_predicted(spark, sf_dir)).select(*STATUS_COLUMNS)
 
 
 @entry("alert_history", UNIT_LIFE + f"""
 SELECT unit_id, timestamp_bin, failure FROM life
 WHERE unit_id IN (SELECT unit_id FROM ({LATEST}) WHERE risk_band IN ('Critical', 'High'))""")
 def alert_history(spark, sf_dir):
-    rows = unit_bins_view(spark, sf_dir)
+    rows = _predicted(spark, sf_dir)
     return kpi.unit_history(rows, kpi.worklist(rows)).select("unit_id", "timestamp_bin", "failure")
 
 
@@ -398,10 +412,10 @@ def roi(spark, sf_dir):
 
 
 @entry("fleet_heatmap", UNIT_LIFE + f"""
-SELECT unit_id, CAST(timestamp_bin AS DATE) AS day, {q6('min(RUL_minutes)')} AS min_rul, {q6('avg(RUL_minutes)')} AS avg_rul
-FROM life GROUP BY 1, 2""")
+SELECT unit_id, CAST(timestamp_bin AS DATE) AS day, {q6('min(predicted_minutes)')} AS min_rul, {q6('avg(predicted_minutes)')} AS avg_rul
+FROM predicted GROUP BY 1, 2""")
 def fleet_heatmap(spark, sf_dir):
-    return rounded(eda.unit_heatmap(unit_bins_view(spark, sf_dir)))
+    return rounded(eda.unit_heatmap(_predicted(spark, sf_dir), rul="predicted_minutes"))
 
 
 # ---- streams -----------------------------------------------------------------
@@ -443,20 +457,42 @@ def _live_bin_table(spark, sf_dir):
     return spark.read.schema(stream.schema).parquet(path), path
 
 
-@entry("stream_scoring")
+SCORED = [f"{c}_avg" for c in SIGNALS] + [f"{c}_avg_{k}" for c in SIGNALS for k in ("roll_mean_60m", "roll_std_60m", "lag1", "delta")]
+
+
+def _scored_sql() -> str:
+    frame = "(PARTITION BY unit_id ORDER BY timestamp_bin ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING)"
+    order = "(PARTITION BY unit_id ORDER BY timestamp_bin)"
+    cols = [f"{q6(f'{c}_avg')} AS {c}_avg" for c in SIGNALS]
+    for c in SIGNALS:
+        b = f"{c}_avg"
+        cols += [f"{q6(f'coalesce(avg({b}) OVER {frame}, 0)')} AS {b}_roll_mean_60m",
+                 f"{q6(f'coalesce(stddev_samp({b}) OVER {frame}, 0)')} AS {b}_roll_std_60m",
+                 f"{q6(f'coalesce(lag({b}) OVER {order}, 0)')} AS {b}_lag1",
+                 f"{q6(f'coalesce({b} - lag({b}) OVER {order}, 0)')} AS {b}_delta"]
+    return f"SELECT unit_id, timestamp_bin, {', '.join(cols)}, true AS is_finite FROM finished"
+
+
+@entry("stream_scoring", FINISHED + _scored_sql())
 def stream_scoring(spark, sf_dir):
-    """Score live bins with a model trained on the batch feature table of the same units."""
-    from ..operators import models
-    from ..schema import numeric_columns
+    """Features of live bins over two batches, scored with a model trained on the batch table of the same units."""
+    from ..operators import models, prep
 
-    batch = stage(clean.only_defined(rul_features(sensor_view(spark, sf_dir), 60, 60, ["unit_id"])), "train")
-    names = [c for c in numeric_columns(batch) if c.endswith(("_avg", "_min", "_max", "_flag", "_60m", "_lag1", "_delta"))]
-    model = models.fit(batch, names, models.forest(numTrees=5, maxDepth=4))
+    batch = stage(clean.only_defined(rul_features(sensor_view(spark, sf_dir), 60, 60, ["unit_id"], rows_back=3)), "train")
+    split = batch.withColumn("split", F.lit("train"))
+    fills = prep.train_medians(split, SCORED).first().asDict()
+    model = models.fit(prep.impute(batch, SCORED, fills), SCORED, models.forest())
     table, path = _live_bin_table(spark, sf_dir)
     out = new_path(spark, "live-scores")
-    live.score_bins(live.read_stream(spark, table, path), model, names, path, out,
-                    new_path(spark, "live-scores-progress"), rows_back=1, roll_minutes=60, lookback="30 days")
-    return spark.read.parquet(out).drop("batch")
+    halves = new_path(spark, "live-halves")
+    middle = table.agg(F.expr("percentile_approx(timestamp_bin, 0.5)")).first()[0]
+    for part in (table.filter(F.col("timestamp_bin") < F.lit(middle)), table.filter(F.col("timestamp_bin") >= F.lit(middle))):
+        part.write.mode("append").parquet(halves)
+        live.score_bins(live.read_stream(spark, table, halves), model, SCORED, out, f"{halves}-progress", fills,
+                        rows_back=3, roll_minutes=60)
+    scored = spark.read.parquet(out)
+    finite = ~F.isnan("y_pred") & F.col("y_pred").isNotNull()
+    return rounded(scored.select("unit_id", "timestamp_bin", *SCORED, finite.alias("is_finite")))
 
 
 @entry("table_write", with_(SENSOR) + "SELECT unit_id, count(*) AS n FROM sensor GROUP BY 1")

@@ -12,7 +12,7 @@ from ..plans.etl import rul_features
 from ..plans.train import save_artifacts, train, training_set
 from ..schema import LEAKAGE_COLUMNS, RUL_EDGES_LEFT, RUL_EDGES_RIGHT, RUL_LABELS
 from ..session import new_path, stage
-from ..sources import load_record, load_split, save_record, save_split, write_report
+from ..sources import load_record, load_split, read_table, save_record, save_split, write_report
 from ..sources.fixtures import sensor_view
 from ..streaming import live
 from .common import (
@@ -99,7 +99,7 @@ def zscores(spark, sf_dir):
 
 
 @entry("failure_window_trend", "WITH " + HF_BASE + ", " + f"""
-times AS (SELECT DISTINCT timestamp_hour AS failure_time FROM hf WHERE failure = 1 ORDER BY 1 LIMIT 3),
+times AS (SELECT DISTINCT timestamp_hour AS failure_time FROM hf WHERE failure = 1),
 normed AS (SELECT *, {', '.join(f'({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER () AS {c}_norm' for c in TREND)} FROM hf)
 SELECT failure_time, timestamp_hour, {', '.join(q6(f'avg({c}_norm)') + f' AS {c}_norm' for c in TREND)}
 FROM normed JOIN times ON timestamp_hour BETWEEN failure_time - INTERVAL 12 hours AND failure_time + INTERVAL 12 hours
@@ -127,13 +127,14 @@ def prefailure_trend(spark, sf_dir):
 
 
 @entry("prefailure_rows", "WITH " + HF_BASE + f"""
-SELECT p.timestamp_hour, p.lat_rounded, p.lon_rounded, e.timestamp_hour AS failure_time,
+SELECT p.timestamp_hour, p.lat_rounded, p.lon_rounded, e.timestamp_hour AS failure_time, e.failing_places,
        {q6('epoch(p.timestamp_hour - e.timestamp_hour) / 3600.0')} AS hours_to_failure
-FROM hf p JOIN (SELECT timestamp_hour FROM hf WHERE failure = 1) e
-  ON p.timestamp_hour BETWEEN e.timestamp_hour - INTERVAL 2 hours AND e.timestamp_hour""")
+FROM hf p JOIN (SELECT timestamp_hour, count(*) AS failing_places FROM hf WHERE failure = 1 GROUP BY 1) e
+  ON p.timestamp_hour BETWEEN e.timestamp_hour - INTERVAL 12 hours AND e.timestamp_hour""")
 def prefailure_rows(spark, sf_dir):
-    rows = eda.pre_failure_rows(hourly_view(spark, sf_dir), 2)
-    return rounded(rows.select("timestamp_hour", "lat_rounded", "lon_rounded", "failure_time", "hours_to_failure"))
+    rows = eda.pre_failure_rows(hourly_view(spark, sf_dir))
+    return rounded(rows.select(
+        "timestamp_hour", "lat_rounded", "lon_rounded", "failure_time", "failing_places", "hours_to_failure"))
 
 
 NUMERIC = [*STATS, *[f"{c}_flag" for c in FLAGS], "failure", *rolled_names(),
@@ -179,9 +180,9 @@ def histogram_by_class(spark, sf_dir):
     return rounded(eda.histogram(hourly_view(spark, sf_dir), TREND, 50, ["failure"]))
 
 
-@entry("histogram_columns", FEAT + histogram_sql(sql_unpivot("feat", NUMERIC[:12]), 40))
+@entry("histogram_columns", FEAT + histogram_sql(sql_unpivot("feat", NUMERIC), 40))
 def histogram_columns(spark, sf_dir):
-    return rounded(eda.histogram(features_view(spark, sf_dir), NUMERIC[:12], 40))
+    return rounded(eda.histogram(features_view(spark, sf_dir), NUMERIC, 40))
 
 
 def box_sql(long: str, key: str = "") -> str:
@@ -369,55 +370,85 @@ def weighted_mse(spark, sf_dir):
                                                  "y_pred", "weight")))
 
 
-# ---- models (results depend on the library, so rows only) --------------------
+# ---- models: trees differ between libraries, so what SQL can state about them is compared ----
 
-SMALL_FOREST = {"numTrees": 10, "maxDepth": 6}
-SMALL_BOOSTED = {"maxIter": 10, "maxDepth": 4}
+HELD = "WITH " + prepared_sql(["Motor_current_std"]) + "\n"
+
+
+def _held_sql(model: str, fact: str) -> str:
+    return HELD + f"SELECT '{model}' AS model, pos AS key, {q6('RUL_minutes')} AS y_true, true AS {fact} FROM split WHERE split = 'test'"
 
 
 def _training(spark, sf_dir):
     return training_set(rul_features(sensor_view(spark, sf_dir)))
 
 
-@entry("rf_rul")
+def _within(scored, train):
+    """Predictions of a forest are means of train labels."""
+    low, high = train.agg(F.min("RUL_minutes"), F.max("RUL_minutes")).first()
+    inside = F.col("y_pred").between(low - 1e-6, high + 1e-6)
+    return rounded(scored.select("model", "key", "y_true", inside.alias("in_train_range")))
+
+
+def _finite(scored):
+    ok = F.col("y_pred").isNotNull() & ~F.isnan("y_pred") & (F.abs("y_pred") < 1e12)
+    return rounded(scored.select("model", "key", "y_true", ok.alias("is_finite")))
+
+
+def _figures(table):
+    """Rows counted per model, and whether every figure is a finite number."""
+    figures = [c for c in table.columns if c.lower() not in ("model", "n", "folds")]
+    ok = [F.col(c).isNotNull() & ~F.isnan(c) for c in figures]
+    counted = next(c for c in table.columns if c.lower() in ("n", "folds"))
+    name = next(c for c in table.columns if c.lower() == "model")
+    return table.select(F.col(name).alias("model"), F.col(counted).cast("long").alias("counted"),
+                        F.array_min(F.array(*ok)).alias("all_finite"))
+
+
+@entry("rf_rul", _held_sql("RandomForest", "in_train_range"))
 def rf_rul(spark, sf_dir):
     data = _training(spark, sf_dir)
-    return models.score(models.fit(data.train, data.features, models.forest(**SMALL_FOREST)), data.test, "RandomForest")
+    model = models.fit(data.train, data.features, models.forest())
+    return _within(models.score(model, data.test, "RandomForest"), data.train)
 
 
-@entry("gbt_rul")
+@entry("gbt_rul", _held_sql("GradientBoosted", "is_finite"))
 def gbt_rul(spark, sf_dir):
     data = _training(spark, sf_dir)
-    model = models.fit(data.train, data.features, models.boosted(**SMALL_BOOSTED))
-    return models.score(model, data.test, "GradientBoosted")
+    model = models.fit(data.train, data.features, models.boosted())
+    return _finite(models.score(model, data.test, "GradientBoosted"))
 
 
-@entry("feature_importance")
+@entry("feature_importance", f"SELECT {len(FEATURES)} AS features, 1e0 AS total, true AS none_negative, true AS ordered")
 def feature_importance(spark, sf_dir):
     data = _training(spark, sf_dir)
-    model = models.fit(data.train, data.features, models.forest(**SMALL_FOREST))
-    return models.importances(model, data.features, spark, top=15)
+    model = models.fit(data.train, data.features, models.forest())
+    every = models.importances(model, data.features, spark)
+    top = [r["importance"] for r in models.importances(model, data.features, spark, top=15).collect()]  # 15 rows
+    return rounded(every.agg(F.count(F.lit(1)).alias("features"), F.sum("importance").alias("total"),
+                             (F.min("importance") >= 0).alias("none_negative"))
+                   .withColumn("ordered", F.lit(top == sorted(top, reverse=True) and len(top) == 15)))
 
 
-@entry("model_grid")
+@entry("model_grid", HELD + """
+SELECT m.model, count(*) AS counted, true AS all_finite
+FROM split, (VALUES ('forest-100x12'), ('boosted-200x5')) m(model) WHERE split = 'test' GROUP BY 1""")
 def model_grid(spark, sf_dir):
     data = _training(spark, sf_dir)
-    grid = {
-        "forest-5x4": models.forest(numTrees=5, maxDepth=4),
-        "forest-10x6": models.forest(numTrees=10, maxDepth=6),
-        "boosted-5x3": models.boosted(maxIter=5, maxDepth=3),
-    }
-    return models.run_grid(data.train, data.test, data.features, grid)[0]
+    grid = {"forest-100x12": models.forest(), "boosted-200x5": models.boosted()}
+    return _figures(models.run_grid(data.train, data.test, data.features, grid)[0])
 
 
-@entry("tuned_in_time")
+@entry("tuned_in_time", "SELECT model, 2::BIGINT AS counted, true AS all_finite FROM (VALUES ('depth-8'), ('depth-12')) m(model)")
 def tuned_in_time(spark, sf_dir):
     data = _training(spark, sf_dir)
-    grid = {"depth-3": models.forest(numTrees=5, maxDepth=3), "depth-5": models.forest(numTrees=5, maxDepth=5)}
-    return models.tune_in_time(data.train, data.features, grid, prep.time_folds(data.cut, 2))
+    grid = {"depth-8": models.forest(maxDepth=8), "depth-12": models.forest()}
+    return _figures(models.tune_in_time(data.train, data.features, grid, prep.time_folds(data.cut, 2)))
 
 
-@entry("sequence_gbt")
+@entry("sequence_gbt", "WITH " + SEQ + f"""
+SELECT 'SequenceBoosted' AS model, pos AS key, {q6('RUL_minutes')} AS y_true, true AS is_finite
+FROM filled WHERE pos >= 30 AND pos >= cut""")
 def sequence_gbt(spark, sf_dir):
     """Boosting on flattened, normalised 30-step windows, weighted by life range, with early stopping."""
     from ..operators.features import sequence_windows as windows
@@ -429,30 +460,140 @@ def sequence_gbt(spark, sf_dir):
     weights = prep.bin_weights(sides.filter("split = 'train'"))
     flat = prep.flatten_sequence(prep.add_sample_weight(sides, weights)).drop("sequence")
     ready = stage(flat, "sequences")
-    learner = models.boosted(**SMALL_BOOSTED).setWeightCol("weight").setValidationIndicatorCol("held_out")
+    learner = models.boosted().setWeightCol("weight").setValidationIndicatorCol("held_out")
     marked = ready.filter("split <> 'test'").withColumn("held_out", F.col("split") == "validation")
-    return learner.fit(marked).transform(ready.filter("split = 'test'")).select(
+    return _finite(learner.fit(marked).transform(ready.filter("split = 'test'")).select(
         F.lit("SequenceBoosted").alias("model"), F.col("pos").alias("key"), F.col("RUL_minutes").alias("y_true"), "y_pred"
-    )
+    ))
 
 
-@entry("early_stopping")
+@entry("early_stopping", _held_sql("GradientBoosted", "is_finite"))
 def early_stopping(spark, sf_dir):
     data = _training(spark, sf_dir)
     marked = prep.validation_tail(data.rows, length=0)
-    model = models.fit_with_validation(marked, data.features, models.boosted(**SMALL_BOOSTED))
-    return models.score(model, data.test, "GradientBoosted")
+    model = models.fit_with_validation(marked, data.features, models.boosted())
+    return _finite(models.score(model, data.test, "GradientBoosted"))
 
 
-@entry("saved_model_eval")
+@entry("saved_model_eval", HELD + """
+SELECT m.model, count(*) AS counted, true AS all_finite
+FROM split, (VALUES ('RandomForest'), ('GradientBoosted')) m(model) WHERE split = 'test' GROUP BY 1""")
 def saved_model_eval(spark, sf_dir):
     table = stage(rul_features(sensor_view(spark, sf_dir)), "features")
     data = training_set(table)
-    regressors = {"RandomForest": models.forest(**SMALL_FOREST), "GradientBoosted": models.boosted(**SMALL_BOOSTED)}
-    fitted, predictions = train(data, regressors)
+    fitted, predictions = train(data, {"RandomForest": models.forest(), "GradientBoosted": models.boosted()})
     folder = new_path(spark, "artifacts")
     save_artifacts(spark, data, fitted, predictions, folder)
-    return evaluate_saved(spark, table, folder)
+    return _figures(evaluate_saved(spark, table, folder))
+
+
+# ---- the same per unit -------------------------------------------------------
+
+UNIT_STEPS = 5
+_UNIT = ",".join([SENSOR, bins_sql(60, True), rul_sql(True), features_sql(True, 1, 60)])
+_UNIT_FILL = ", ".join(
+    f"coalesce({c}::DOUBLE, (SELECT quantile_cont({c}::DOUBLE, 0.5) FROM split WHERE split = 'train')) AS {c}"
+    for c in ["Motor_current_std", *KEY_SENSORS])
+UNIT_SPLIT = f"""WITH {_UNIT},
+matrix AS (SELECT *, row_number() OVER (ORDER BY timestamp_bin, unit_id) - 1 AS pos, count(*) OVER () AS n
+           FROM feat WHERE RUL_minutes IS NOT NULL),
+split AS (SELECT *, CASE WHEN pos < round_even(n * (1.0::DOUBLE - 0.2::DOUBLE), 0)::BIGINT THEN 'train' ELSE 'test' END AS split FROM matrix),
+filled AS (
+  SELECT unit_id, timestamp_bin, RUL_minutes, split, {_UNIT_FILL},
+         row_number() OVER (PARTITION BY unit_id ORDER BY timestamp_bin) - 1 AS pos,
+         count(*) FILTER (WHERE split = 'train') OVER (PARTITION BY unit_id) AS cut
+  FROM split
+)
+"""
+
+
+def _unit_split(spark, sf_dir):
+    table = rounded(rul_features(sensor_view(spark, sf_dir), 60, 60, ["unit_id"]))
+    matrix, names = prep.feature_matrix(table, parts=["unit_id"])
+    return prep.time_split(matrix, parts=["unit_id"]), names
+
+
+def _unit_filled(spark, sf_dir, names):
+    split, every = _unit_split(spark, sf_dir)
+    assert "unit_id" not in every
+    rows = stage(split, "split")
+    return prep.per_series(prep.impute(rows, names, prep.train_medians(rows, names).first().asDict()), ["unit_id"])
+
+
+@entry("split_by_unit", UNIT_SPLIT + "SELECT unit_id, timestamp_bin, pos, split FROM split")
+def split_by_unit(spark, sf_dir):
+    return _unit_split(spark, sf_dir)[0].select("unit_id", "timestamp_bin", "pos", "split")
+
+
+@entry("median_impute_by_unit", UNIT_SPLIT + f"SELECT unit_id, pos, split, {q6('Motor_current_std')} AS Motor_current_std, "
+       + ", ".join(f"{q6(c)} AS {c}" for c in KEY_SENSORS) + " FROM filled")
+def median_impute_by_unit(spark, sf_dir):
+    names = ["Motor_current_std", *KEY_SENSORS]
+    return rounded(_unit_filled(spark, sf_dir, names).select("unit_id", "pos", "split", *names))
+
+
+@entry("sequence_windows_by_unit", UNIT_SPLIT + f"""
+SELECT unit_id, pos, {q6('s')} AS total, {q6('f')} AS first_motor FROM (
+  SELECT unit_id, pos, sum({' + '.join(KEY_SENSORS)}) OVER w AS s, first_value(Motor_current_avg) OVER w AS f FROM filled
+  WINDOW w AS (PARTITION BY unit_id ORDER BY pos ROWS BETWEEN {UNIT_STEPS} PRECEDING AND 1 PRECEDING)
+) WHERE pos >= {UNIT_STEPS}""")
+def sequence_windows_by_unit(spark, sf_dir):
+    from ..operators.features import sequence_windows as windows
+
+    made = windows(_unit_filled(spark, sf_dir, KEY_SENSORS), KEY_SENSORS, UNIT_STEPS, parts=["unit_id"])
+    total = F.aggregate(F.flatten("sequence"), F.lit(0.0), lambda a, x: a + x)
+    return rounded(made.select("unit_id", "pos", total.alias("total"), F.col("sequence")[0][0].alias("first_motor")))
+
+
+@entry("sequence_norm_by_unit", UNIT_SPLIT.rstrip() + f""", cells AS (
+  SELECT r.* FROM filled t JOIN filled r ON r.unit_id = t.unit_id AND r.pos BETWEEN t.pos - {UNIT_STEPS} AND t.pos - 1
+  WHERE t.pos >= {UNIT_STEPS} AND t.pos < t.cut)
+SELECT """ + ", ".join(
+    f"{q6(f'avg({c})')} AS {c}__mean, {q6(f'stddev_pop({c})')} AS {c}__std" for c in KEY_SENSORS) + " FROM cells")
+def sequence_norm_by_unit(spark, sf_dir):
+    return rounded(prep.sequence_norms(_unit_filled(spark, sf_dir, KEY_SENSORS), KEY_SENSORS, UNIT_STEPS))
+
+
+# ---- NaN and infinity --------------------------------------------------------
+
+GAPPY = """gappy AS (SELECT *, CASE WHEN event_id % 11 = 0 THEN 'nan'::DOUBLE WHEN event_id % 13 = 0 THEN 'inf'::DOUBLE ELSE value END AS x,
+  CASE WHEN event_id % 17 = 0 THEN '-inf'::DOUBLE ELSE (event_id % 100)::DOUBLE END AS y FROM events),
+clean AS (SELECT event_id, CASE WHEN isfinite(x) THEN x END AS x, CASE WHEN isfinite(y) THEN y END AS y FROM gappy)"""
+
+
+def _gappy(spark, sf_dir):
+    bad = {n: F.lit(float(n)) for n in ("nan", "inf", "-inf")}
+    i = F.col("event_id")
+    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        "event_id", F.when(i % 11 == 0, bad["nan"]).when(i % 13 == 0, bad["inf"]).otherwise(F.col("value")).alias("x"),
+        F.when(i % 17 == 0, bad["-inf"]).otherwise((i % 100).cast("double")).alias("y"))
+
+
+@entry("correlation_with_gaps", f"WITH {GAPPY} SELECT 'x' AS a, 'y' AS b, {q6('corr(x, y)')} AS r FROM clean")
+def correlation_with_gaps(spark, sf_dir):
+    return rounded(eda.correlations(_gappy(spark, sf_dir), ["x", "y"]).filter("a = 'x' AND b = 'y'"))
+
+
+@entry("zscores_with_gaps", f"WITH {GAPPY} SELECT event_id, "
+       + ", ".join(f"{q6(f'({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER ()')} AS {c}_norm" for c in "xy") + " FROM clean")
+def zscores_with_gaps(spark, sf_dir):
+    return rounded(eda.zscores(_gappy(spark, sf_dir), ["x", "y"]).select("event_id", "x_norm", "y_norm"))
+
+
+@entry("summary_with_gaps", f"WITH {GAPPY} " + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, count({c}) AS n, {q6(f'avg({c})')} AS mean, {q6(f'stddev_samp({c})')} AS stddev, "
+    f"{q6(f'min({c})')} AS min, {q6(f'max({c})')} AS max FROM clean" for c in "xy"))
+def summary_with_gaps(spark, sf_dir):
+    return rounded(eda.summary_stats(_gappy(spark, sf_dir), ["x", "y"]))
+
+
+@entry("csv_feature_training_set", "WITH " + prepared_sql(["Motor_current_std"])
+       + f"\nSELECT pos, split, {q6('RUL_minutes')} AS RUL_minutes FROM split")
+def csv_feature_training_set(spark, sf_dir):
+    """A feature table written as CSV, read back with its types, split and imputed for training."""
+    path = new_path(spark, "features") + ".csv"
+    features_view(spark, sf_dir).write.option("header", True).csv(path)
+    return rounded(training_set(read_table(spark, path)).rows.select("pos", "split", "RUL_minutes"))
 
 
 # ---- evaluation --------------------------------------------------------------

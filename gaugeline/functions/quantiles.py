@@ -2,9 +2,9 @@
 
 The built-in `percentile` keeps every distinct value of a group in one buffer.
 Here the values are counted per distinct value (with map-side combine, so heavy
-repeats cost nothing), cut into value ranges, and only the ranges that hold a
-wanted rank are sorted. The range edges come from an approximate sketch: they
-decide how even the ranges are, never the answer.
+repeats cost nothing) and dealt by value range over as many tasks as Spark uses for
+a shuffle, so the ranges shrink as the cluster grows; only those that hold a
+wanted rank are ordered. How even the ranges are never affects the answer.
 """
 
 from __future__ import annotations
@@ -14,9 +14,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .numeric import with_place
-
-RANGES = 64
+from ..session import stage
 
 
 def value_counts(df: DataFrame, columns: Sequence[str], groups: Sequence[str] = ()) -> DataFrame:
@@ -36,29 +34,27 @@ def exact_percentiles(
     columns: Sequence[str],
     probs: Sequence[float] | Callable[[Column], Column],
     groups: Sequence[str] = (),
-    ranges: int = RANGES,
+    ranges: int | None = None,
 ) -> DataFrame:
     """(groups, feature, idx, p, value, n_values), linear between neighbouring ranks.
 
     `probs` is a list, or a function from the group's value count to an array
-    column when the wanted points depend on the count. `groups` are report
-    classes (models, failing or not): few enough that one row per group and
-    column can be broadcast.
+    column when the wanted points depend on the count. `groups` may be report
+    classes or as many as units. `ranges` fixes the number of value ranges; by
+    default it is the session's number of shuffle partitions.
     """
     groups = list(groups)
     series = [*groups, "feature"]
     counts = value_counts(df, columns, groups)
 
-    marks = [i / ranges for i in range(1, ranges)]
-    edges = counts.groupBy(*series).agg(
-        F.percentile_approx("value", marks, F.lit(20 * ranges)).alias("_edges"), F.sum("n").alias("_total")
-    )
-    # One row per series; a shuffle on so few keys would put each series into one task.
-    ranged = with_place(counts.join(F.broadcast(edges), series), "_range", "value", "_edges", ranges - 1).drop("_edges")
+    parts = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = stage(counts, "values").repartitionByRange(parts, *series, "value")
+    ranged = stage(dealt.withColumn("_range", F.spark_partition_id()), "ranges")
 
     before = Window.partitionBy(*series).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    totals = ranged.groupBy(*series, "_range", "_total").agg(F.sum("n").alias("_in")).select(
-        *series, "_range", "_in", "_total",
+    whole = Window.partitionBy(*series)
+    totals = ranged.groupBy(*series, "_range").agg(F.sum("n").alias("_in")).select(
+        *series, "_range", "_in", F.sum("_in").over(whole).alias("_total"),
         F.coalesce(F.sum("_in").over(before), F.lit(0)).alias("_before"),
     )
 
@@ -71,7 +67,7 @@ def exact_percentiles(
         .select("*", place.alias("_place"),
                 F.explode(F.array_distinct(F.array(F.floor(place), F.ceil(place)))).alias("_rank"))
         .filter(here)
-        .groupBy(*series, "_range", "_before")
+        .groupBy(*series, "_range", "_before", "_total")
         .agg(F.collect_list(F.struct("idx", "p", "_place", "_rank")).alias("_points"))
     )
 
@@ -79,7 +75,7 @@ def exact_percentiles(
     top = F.col("_before") + F.col("_upto")
     hit = lambda t: (t["_rank"] < top) & (t["_rank"] >= top - F.col("n"))
     found = (
-        ranged.join(F.broadcast(targets), [*series, "_range"])
+        ranged.join(targets, [*series, "_range"])
         .withColumn("_upto", F.sum("n").over(running))
         .select(*series, "value", "_total", F.inline(F.filter("_points", hit)))
     )
@@ -91,7 +87,7 @@ def exact_percentiles(
 
 
 def percentile_arrays(
-    df: DataFrame, columns: Sequence[str], probs, groups: Sequence[str] = (), ranges: int = RANGES,
+    df: DataFrame, columns: Sequence[str], probs, groups: Sequence[str] = (), ranges: int | None = None,
 ) -> DataFrame:
     """(groups, feature, q): the percentiles of each feature as one sorted array."""
     points = exact_percentiles(df, columns, probs, groups, ranges)
@@ -101,7 +97,7 @@ def percentile_arrays(
     )
 
 
-def medians(df: DataFrame, columns: Sequence[str], ranges: int = RANGES) -> DataFrame:
+def medians(df: DataFrame, columns: Sequence[str], ranges: int | None = None) -> DataFrame:
     """One row with the exact median of each column under the column's own name."""
     points = exact_percentiles(df, columns, [0.5], ranges=ranges)
     return points.agg(*[F.max(F.when(F.col("feature") == c, F.col("value"))).alias(c) for c in columns])

@@ -73,8 +73,12 @@ def rescale(df: DataFrame, units: Mapping[str, tuple[float, float]]) -> DataFram
     ])
 
 
-def sample_rows(df: DataFrame, fraction: float = 0.1, seed: int = 42) -> DataFrame:
-    return df.sample(fraction=fraction, seed=seed)
+def sample_rows(df: DataFrame, fraction: float = 0.1, seed: int = 42, keys: Sequence[str] = ()) -> DataFrame:
+    """A sample of rows; with `keys` it depends on the keys alone, so reruns and other engines agree."""
+    if not keys:
+        return df.sample(fraction=fraction, seed=seed)
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
+    return df.filter(F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") < fraction * (1 << 52))
 
 
 def distinct_values(df: DataFrame, column: str, limit: int | None = None) -> DataFrame:

@@ -9,10 +9,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import equal_width_bin
+from ..functions.numeric import equal_width_bin, finite
 from ..functions.quantiles import percentile_arrays
-from ..schema import COUNTED_SIGNALS, keep_existing, numeric_columns
-from .clean import complete_rows, melt
+from ..schema import COUNTED_SIGNALS, numeric_columns
+from .clean import complete_rows, finite_columns, melt
 from .enrich import around_events
 
 HOUR = 3600
@@ -28,7 +28,7 @@ def table_profile(df: DataFrame, name: str = "table") -> DataFrame:
 
 def signal_value_counts(df: DataFrame, signals: Sequence[str] = COUNTED_SIGNALS) -> DataFrame:
     """Counts per value of each binary signal, all signals in one pass."""
-    present = keep_existing(df, signals)
+    present = [c for c in signals if c in df.columns]
     wide = df.select(*[F.col(c).try_cast("int").alias(c) for c in present])
     counted = wide.unpivot([], present, "signal", "value").groupBy("signal", "value")
     return counted.agg(F.count(F.lit(1)).alias("n")).orderBy("signal", "value")
@@ -47,7 +47,8 @@ def _stacked(wide: DataFrame, columns: Sequence[str], stats: Sequence[str]) -> D
 
 
 def summary_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(feature, n, mean, stddev, min, max) in one aggregate."""
+    """(feature, n, mean, stddev, min, max) of the finite values in one aggregate."""
+    df = finite_columns(df, columns)
     kinds = {"n": F.count, "mean": F.avg, "stddev": F.stddev, "min": F.min, "max": F.max}
     wide = df.agg(*[
         f(F.col(c).cast("double")).alias(f"{c}__{s}") for c in columns for s, f in kinds.items()
@@ -70,7 +71,8 @@ def missing_and_outliers(df: DataFrame, columns: Sequence[str], fence: float = 1
 
 
 def zscores(df: DataFrame, columns: Sequence[str], suffix: str = "_norm") -> DataFrame:
-    """Columns minus their mean over their sample std; NULL where the std is 0 or missing."""
+    """Columns minus their mean over their sample std; NULL where the std is 0 or missing, or the value is not finite."""
+    df = finite_columns(df, columns)
     moments = df.agg(*[
         m(c).alias(f"_{n}_{c}") for c in columns for n, m in (("mean", F.avg), ("std", F.stddev))
     ])
@@ -144,7 +146,7 @@ def correlations(
     As separate aggregate expressions the pairs would outgrow compiled code.
     """
     columns = list(columns) if columns is not None else numeric_columns(df)
-    base = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    base = df.select(*[finite(c).alias(c) for c in columns])
     if listwise:
         base = complete_rows(base, columns)
     # Sums around the mean keep their digits.
@@ -187,14 +189,16 @@ def _pair_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def failure_window_trend(
-    hourly: DataFrame, sensors: Sequence[str] = TREND_SENSORS, hours: int = 12, failures: int = 3,
+    hourly: DataFrame, sensors: Sequence[str] = TREND_SENSORS, hours: int = 12, failures: int | None = None,
 ) -> DataFrame:
-    """(failure_time, timestamp_hour, <sensor>_norm): z-scored means around the first failures."""
+    """(failure_time, timestamp_hour, <sensor>_norm): z-scored means around every failing hour, or the first `failures`."""
     normed = zscores(hourly, sensors)
     times = (
         hourly.filter(F.col("failure") == 1).select(F.col("timestamp_hour").alias("failure_time"))
-        .distinct().orderBy("failure_time").limit(failures)
+        .distinct()
     )
+    if failures:
+        times = times.orderBy("failure_time").limit(failures)
     near = around_events(normed, times, "timestamp_hour", "failure_time", hours * HOUR, hours * HOUR)
     return near.groupBy("failure_time", "timestamp_hour").agg(
         *[F.avg(f"{s}_norm").alias(f"{s}_norm") for s in sensors]
@@ -202,8 +206,12 @@ def failure_window_trend(
 
 
 def pre_failure_rows(hourly: DataFrame, hours: int = 12) -> DataFrame:
-    """Each hourly row once per failing row at most `hours` later, with `hours_to_failure` <= 0."""
-    failing = hourly.filter(F.col("failure") == 1).select(F.col("timestamp_hour").alias("failure_time"))
+    """Each hourly row once per failing hour at most `hours` later, with `hours_to_failure` <= 0.
+
+    `failing_places` counts the failing rows of that hour, so no pairs of places are formed.
+    """
+    failing = hourly.filter(F.col("failure") == 1).groupBy(F.col("timestamp_hour").alias("failure_time")).agg(
+        F.count(F.lit(1)).alias("failing_places"))
     near = around_events(hourly, failing, "timestamp_hour", "failure_time", hours * HOUR, 0)
     gap = F.unix_timestamp("timestamp_hour") - F.unix_timestamp("failure_time")
     return near.withColumn("hours_to_failure", gap / F.lit(3600.0))
@@ -258,10 +266,12 @@ def pre_failure_trend(
     return zscores(table, [f"{s}_{k}" for s in sensors for k in ("mean", "std")])
 
 
-def unit_heatmap(rows: DataFrame, unit: str = "unit_id", ts: str = "timestamp_bin") -> DataFrame:
+def unit_heatmap(
+    rows: DataFrame, unit: str = "unit_id", ts: str = "timestamp_bin", rul: str = "RUL_minutes",
+) -> DataFrame:
     """(unit, day, min_rul, avg_rul): remaining life by unit and day."""
     return rows.groupBy(unit, F.to_date(ts).alias("day")).agg(
-        F.min("RUL_minutes").alias("min_rul"), F.avg("RUL_minutes").alias("avg_rul")
+        F.min(rul).alias("min_rul"), F.avg(rul).alias("avg_rul")
     )
 
 

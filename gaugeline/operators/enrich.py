@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stage
 from .bins import HOUR_PLACE
 from .skew import hot_groups, salt_of
 
@@ -82,8 +83,9 @@ def as_of(
         .withColumn("_fact", F.struct("_ts", "_values"))
     )
     placed = readings.withColumn("_bucket", bucket(reading_ts))
-    sizes = placed.groupBy(*spots).agg(F.count(F.lit(1)).alias("n"))
-    hot = F.broadcast(hot_groups(sizes, spots, "n", rows_per_task))
+    # Counted once: the same small table says which buckets are read and which are split.
+    sizes = stage(placed.groupBy(*spots).agg(F.count(F.lit(1)).alias("n")), "bucket-sizes")
+    hot = hot_groups(sizes, spots, "n", rows_per_task)
 
     # Newest context of each bucket, brought forward to the buckets that have readings.
     newest = facts.groupBy(*spots).agg(F.max("_fact").alias("_newest"))

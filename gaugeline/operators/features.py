@@ -8,13 +8,14 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.numeric import zero_if_missing
-from ..schema import KEY_SIGNALS, keep_existing
+from ..schema import KEY_SIGNALS
 from .ordered import BLOCK_ROWS, with_halo, with_time_halo
 
 
 def frame_rows(roll_minutes: int = 30, bin_minutes: int = 2) -> int:
-    """Rows of the rolling frame before the current one, at least 1."""
-    return max(int(roll_minutes / max(bin_minutes, 1)) - 1, 1)
+    """Whole bins in the rolling span without the current one; a frame has one row at least."""
+    bins_in_span = roll_minutes // bin_minutes if bin_minutes > 1 else int(roll_minutes)
+    return bins_in_span - 1 if bins_in_span > 2 else 1
 
 
 def rolling_features(
@@ -37,7 +38,7 @@ def rolling_columns(
     bins: DataFrame, rows_back: int, roll_minutes: int,
 ) -> Callable[[WindowSpec], list[Column]]:
     """The expressions of `rolling_features` for a given ordered window."""
-    bases = keep_existing(bins, KEY_SIGNALS)
+    bases = [c for c in KEY_SIGNALS if c in bins.columns]
 
     def build(window: WindowSpec) -> list[Column]:
         frame = window.rowsBetween(-rows_back, -1)

@@ -39,15 +39,19 @@ def add_risk(rows: DataFrame, rul: str = "RUL_minutes") -> DataFrame:
     return rows.withColumn("risk_band", risk_band(rul)).withColumn("action", recommended_action(rul))
 
 
-def status_board(rows: DataFrame, unit: str = "unit_id", ts: str = "timestamp_bin") -> DataFrame:
-    """The newest row of each unit with its risk and action."""
-    return add_risk(latest_rows(rows, unit, ts))
+def status_board(
+    rows: DataFrame, unit: str = "unit_id", ts: str = "timestamp_bin", rul: str = "predicted_minutes",
+) -> DataFrame:
+    """The newest row of each unit with the risk and action of its predicted life."""
+    return add_risk(latest_rows(rows, unit, ts), rul)
 
 
-def worklist(rows: DataFrame, unit: str = "unit_id", ts: str = "timestamp_bin") -> DataFrame:
+def worklist(
+    rows: DataFrame, unit: str = "unit_id", ts: str = "timestamp_bin", rul: str = "predicted_minutes",
+) -> DataFrame:
     """Units at critical or high risk now, most urgent first."""
-    urgent = status_board(rows, unit, ts).filter(F.col("risk_band").isin("Critical", "High"))
-    return urgent.orderBy("RUL_minutes", unit)
+    urgent = status_board(rows, unit, ts, rul).filter(F.col("risk_band").isin("Critical", "High"))
+    return urgent.orderBy(rul, unit)
 
 
 def unit_history(rows: DataFrame, alerts: DataFrame, unit: str = "unit_id") -> DataFrame:

@@ -13,17 +13,11 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-BLOCK_ROWS = 4096
-# Keyed series up to this length may be windowed whole, one task per key.
-WHOLE_ROWS = 500_000
-
+from ..session import stage
 
-def fits_whole(df: DataFrame, parts: Sequence[str], limit: int = WHOLE_ROWS) -> bool:
-    """Whether there are keys and no key's series is longer than `limit` (counted now)."""
-    if not parts:
-        return False
-    sizes = df.groupBy(*parts).agg(F.count(F.lit(1)).alias("n"))
-    return (sizes.agg(F.max("n")).first()[0] or 0) <= limit
+BLOCK_ROWS = 4096
+# Low bits of `monotonically_increasing_id`: the row within its task.
+TASK_BITS = 33
 
 
 def running(
@@ -91,6 +85,26 @@ def running(
     return chunked.select("*", *local).join(carry, keys, "left").select(*out)
 
 
+def positions(df: DataFrame, order: Sequence[str], name: str) -> tuple[DataFrame, int]:
+    """(`df` with its place in ascending `order`, number of rows), no matter how many rows share a day.
+
+    Rows are dealt by range and sorted in their tasks; a row's place is its place in the task plus
+    the rows of the tasks before. One count per task is gathered.
+    """
+    held = stage(df, "unplaced")
+    sorted_rows = held.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = stage(sorted_rows.withColumn("_place", F.monotonically_increasing_id()), "placed")
+    task = F.shiftright("_place", TASK_BITS)
+    starts, total = [], 0
+    for number, count in sorted(map(tuple, placed.groupBy(task.alias("task")).count().collect())):
+        starts.append((number, total))
+        total += count
+    bases = df.sparkSession.createDataFrame(starts, "_task long, _before long")
+    within = F.col("_place").bitwiseAND(F.lit((1 << TASK_BITS) - 1))
+    return placed.withColumn("_task", task).join(F.broadcast(bases), "_task").select(
+        *df.columns, (F.col("_before") + within).alias(name)), total
+
+
 def with_halo(
     df: DataFrame,
     position: str,
@@ -104,8 +118,7 @@ def with_halo(
     Rows go to blocks of consecutive positions; the last `back` rows of a block
     are also sent to the next one, so each block can be windowed alone.
     """
-    if back > block_rows:
-        raise ValueError(f"block_rows={block_rows} must be at least back={back}")
+    block_rows = max(block_rows, back)
     own = F.floor(F.col(position) / F.lit(block_rows))
     near_end = F.col(position) - own * block_rows >= block_rows - back
     spread = df.withColumn("_block", F.explode(F.when(near_end, F.array(own, own + 1)).otherwise(F.array(own))))

@@ -15,7 +15,7 @@ from ..functions.quantiles import approximate_medians, medians
 from ..functions.timebins import add_time_of_day, day_chunk
 from ..schema import LEAKAGE_COLUMNS, RUL_EDGES_LEFT, TARGET, numeric_columns, require_columns
 from .clean import finite_columns, only_defined
-from .ordered import running
+from .ordered import positions, running
 
 SEQUENCE_LENGTH = 30
 
@@ -27,8 +27,9 @@ def feature_matrix(
     drop: Sequence[str] = LEAKAGE_COLUMNS,
     features: Sequence[str] | None = None,
     time_of_day: bool = True,
+    parts: Sequence[str] = (),
 ) -> tuple[DataFrame, list[str]]:
-    """(rows, feature names): rows with a target, features finite or NULL.
+    """(rows, feature names): rows with a target, features finite or NULL; `parts` (unit keys) are kept, never features.
 
     Without `features`, every numeric column that does not leak the target is one.
     """
@@ -37,12 +38,12 @@ def feature_matrix(
     if time_of_day and ts in df.columns:
         rows = add_time_of_day(rows, ts)
     if features is None:
-        features = numeric_columns(rows, [*drop, target])
+        features = numeric_columns(rows, [*drop, target, *parts])
         if not features:
             raise ValueError("no numeric feature column is left after dropping leakage columns")
     else:
         require_columns(rows, features, "feature table")
-    kept = [c for c in (ts, "failure") if c in rows.columns and c not in features and c != target]
+    kept = [c for c in (*parts, ts, "failure") if c in rows.columns and c not in features and c != target]
     return finite_columns(rows, features).select(*kept, target, *features), list(features)
 
 
@@ -56,20 +57,30 @@ def cut_of(n: Column, test_size: float = 0.2, rule: str = "round") -> Column:
 
 
 def time_split(
-    rows: DataFrame, ts: str = "timestamp_bin", test_size: float = 0.2, rule: str = "round",
+    rows: DataFrame, ts: str = "timestamp_bin", test_size: float = 0.2, rule: str = "round", parts: Sequence[str] = (),
 ) -> DataFrame:
-    """`pos` in time order, `cut`, and `split` = train / test."""
-    placed = running(rows, ts, day_chunk(ts), position="pos", total="_n")
-    cut = cut_of(F.col("_n"), test_size, rule)
-    return placed.withColumn("cut", cut).drop("_n").withColumn("split", _side("cut"))
+    """`pos` in time order over all units (ties by `parts`), `cut`, and `split` = train / test."""
+    placed, n = positions(rows, [ts, *parts], "pos")
+    cut = cut_of(F.lit(n).cast("bigint"), test_size, rule)
+    return placed.withColumn("cut", cut).withColumn("split", _side("cut"))
 
 
-def split_at(rows: DataFrame, cut: int, ts: str = "timestamp_bin") -> DataFrame:
+def per_series(rows: DataFrame, parts: Sequence[str], ts: str = "timestamp_bin") -> DataFrame:
+    """A split table with `pos` and `cut` counted within each unit, as sequences need them.
+
+    The split itself stays that of the whole fleet: a unit's cut is the number of its train rows.
+    """
+    unit = F.struct(*parts)
+    cuts = rows.groupBy(unit.alias("_unit")).agg(F.count_if(F.col("split") == "train").alias("cut"))
+    placed = running(rows.drop("pos", "cut"), ts, day_chunk(ts), parts, position="pos")
+    return placed.withColumn("_unit", unit).join(cuts, "_unit").drop("_unit")
+
+
+def split_at(rows: DataFrame, cut: int, ts: str = "timestamp_bin", parts: Sequence[str] = ()) -> DataFrame:
     """As `time_split` with a saved cut; the table must reach it."""
-    n = rows.count()
+    placed, n = positions(rows, [ts, *parts], "pos")
     if cut <= 0 or cut > n:
         raise ValueError(f"cut {cut} does not lie within the table's {n} rows")
-    placed = running(rows, ts, day_chunk(ts), position="pos")
     return placed.withColumn("cut", F.lit(cut).cast("bigint")).withColumn("split", _side("cut"))
 
 

@@ -83,6 +83,32 @@ def failure_episodes(
 
 
 def latest_rows(df: DataFrame, key: str, ts: str) -> DataFrame:
-    """The newest row per key; Spark keeps one candidate per key and task before the shuffle."""
-    newest = Window.partitionBy(key).orderBy(F.desc(ts))
-    return df.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") == 1).drop("_rank")
+    """The newest row per key, by one aggregate with map-side combine."""
+    row = F.struct(*[F.col(c) for c in df.columns])
+    newest = df.groupBy(F.col(key).alias("_key")).agg(F.max_by(row, ts).alias("_row"))
+    return newest.filter(F.col("_row").isNotNull()).select("_row.*")
+
+
+def life_table(rows: DataFrame, width_minutes: int = 360) -> DataFrame:
+    """(age, mean_minutes): mean remaining life by time since the last failure, in steps.
+
+    Rows of unknown age form the NULL step; rows without a known end are left out.
+    """
+    known = rows.filter(F.col("RUL_minutes").isNotNull())
+    return known.groupBy(_age(width_minutes).alias("age")).agg(F.avg("RUL_minutes").alias("mean_minutes"))
+
+
+def predict_life(rows: DataFrame, table: DataFrame, width_minutes: int = 360) -> DataFrame:
+    """`predicted_minutes` from a life table: the row's step, else the mean over all steps.
+
+    Needs only what is known at the row's time, so the newest rows get a value too.
+    """
+    overall = table.agg(F.avg("mean_minutes").alias("_overall"))  # one row
+    steps = table.select(F.col("age").alias("_age"), F.col("mean_minutes").alias("_mean"))
+    aged = rows.withColumn("_own", _age(width_minutes))
+    met = aged.join(steps, F.col("_own").eqNullSafe(F.col("_age")), "left").crossJoin(F.broadcast(overall))
+    return met.select(*rows.columns, F.coalesce("_mean", "_overall").alias("predicted_minutes"))
+
+
+def _age(width_minutes: int) -> Column:
+    return F.floor(F.col("minutes_since_last_failure") / width_minutes)

@@ -7,25 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_HOT_GROUPS = 10_000
 
+def hot_groups(sizes: DataFrame, keys: Sequence[str], count: str = "n", rows_per_task: int = 1_000_000) -> DataFrame:
+    """(keys, splits) for every group above `rows_per_task` rows.
 
-def hot_groups(
-    sizes: DataFrame, keys: Sequence[str], count: str = "n",
-    rows_per_task: int = 1_000_000, max_hot: int = MAX_HOT_GROUPS,
-) -> DataFrame:
-    """(keys, splits) for the groups worth splitting.
-
-    A group counts as hot above `rows_per_task` rows and above 1/max_hot of all
-    rows, so at most `max_hot` groups can qualify whatever the data looks like:
-    the result is safe to broadcast.
+    There may be many of them, so the result is joined like any other table.
     """
-    total = sizes.agg(F.sum(count).alias("_all"))
-    return (
-        sizes.crossJoin(F.broadcast(total))
-        .filter((F.col(count) > rows_per_task) & (F.col(count) > F.col("_all") / max_hot))
-        .select(*keys, F.ceil(F.col(count) / F.lit(rows_per_task)).cast("int").alias("splits"))
-    )
+    return sizes.filter(F.col(count) > rows_per_task).select(
+        *keys, F.ceil(F.col(count) / F.lit(rows_per_task)).cast("int").alias("splits"))
 
 
 def salt_of(row_key: Sequence[str], splits: Column) -> Column:

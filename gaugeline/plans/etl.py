@@ -8,14 +8,13 @@ from __future__ import annotations
 import argparse
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.bins import bin_readings
 from ..operators.clean import prepare_readings
-from ..operators.features import frame_rows, rolling_columns, rolling_features
-from ..operators.ordered import BLOCK_ROWS, WHOLE_ROWS, fits_whole
-from ..operators.rul import add_failure_times, add_rul, failure_time_columns
+from ..operators.features import frame_rows, rolling_features
+from ..operators.ordered import BLOCK_ROWS
+from ..operators.rul import add_failure_times, add_rul
 from ..session import build_session, stage
 from ..sources import read_sensor_csv, read_table, write_features
 
@@ -33,15 +32,11 @@ def binned_log(
 
 def labelled_bins(
     readings: DataFrame, bin_minutes: int = 2, parts: Sequence[str] = (), require_gps: bool = True,
-    rul_cap: float | None = None, whole_rows: int = WHOLE_ROWS,
+    rul_cap: float | None = None,
 ) -> DataFrame:
     """Bins with failure times and remaining life; no rolling features."""
     bins = binned_log(readings, bin_minutes, parts, require_gps)
-    if fits_whole(bins, parts, whole_rows):
-        timed = bins.select("*", *failure_time_columns(parts))
-    else:
-        timed = add_failure_times(bins, parts, position=None)
-    return add_rul(timed, cap_minutes=rul_cap)
+    return add_rul(add_failure_times(bins, parts, position=None), cap_minutes=rul_cap)
 
 
 def rul_features(
@@ -53,24 +48,17 @@ def rul_features(
     rows_back: int | None = None,
     rul_cap: float | None = None,
     block_rows: int = BLOCK_ROWS,
-    whole_rows: int = WHOLE_ROWS,
 ) -> DataFrame:
     """The whole feature table: bin statistics, rolling, lag and delta features, remaining life.
 
     `parts` makes one series per unit (or any other key); empty, all readings
-    form one. `rows_back` overrides the frame derived from the two spans. Keyed
-    series of up to `whole_rows` bins are windowed whole, which saves two
-    shuffles; one longer series, or no key, and all are cut into chunks.
+    form one. `rows_back` overrides the frame derived from the two spans. Series of
+    every length are cut into the same chunks.
     """
     bins = binned_log(readings, bin_minutes, parts, require_gps)
     back = frame_rows(roll_minutes, bin_minutes) if rows_back is None else rows_back
-    if fits_whole(bins, parts, whole_rows):
-        window = Window.partitionBy(*parts).orderBy(F.col("timestamp_bin").asc_nulls_first())
-        build = rolling_columns(bins, back, roll_minutes)
-        rolled = bins.select("*", *build(window), *failure_time_columns(parts))
-    else:
-        timed = add_failure_times(bins, parts)
-        rolled = rolling_features(timed, back, roll_minutes, parts, block_rows=block_rows)
+    timed = add_failure_times(bins, parts)
+    rolled = rolling_features(timed, back, roll_minutes, parts, block_rows=block_rows)
     full = add_rul(rolled, cap_minutes=rul_cap)
     lead = [c for c in full.columns if c not in FAILURE_COLUMNS and c != "pos"]
     return full.select(*lead, *FAILURE_COLUMNS)

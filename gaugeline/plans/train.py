@@ -46,10 +46,11 @@ def training_set(
     test_size: float = 0.2,
     rule: str = "round",
     time_of_day: bool = True,
+    parts: Sequence[str] = (),
 ) -> TrainingSet:
     """Matrix, time-ordered split and imputation, written once since fitting reads it many times."""
-    matrix, features = prep.feature_matrix(table, target, ts, drop, time_of_day=time_of_day)
-    split = stage(prep.time_split(matrix, ts, test_size, rule), "split")
+    matrix, features = prep.feature_matrix(table, target, ts, drop, time_of_day=time_of_day, parts=parts)
+    split = stage(prep.time_split(matrix, ts, test_size, rule, parts), "split")
     known = split.agg(F.max("cut").alias("cut")).crossJoin(prep.train_medians(split, features)).first().asDict()
     cut = int(known.pop("cut") or 0)
     rows = stage(prep.impute(split, features, known), "train")
@@ -100,12 +101,13 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--test-size", type=float, default=0.2)
     parser.add_argument("--output-dir", default="outputs")
     parser.add_argument("--add-time-of-day", action="store_true")
+    parser.add_argument("--unit-column", default=None, help="key of the unit, kept but never a feature")
     parser.add_argument("--full", action="store_true", help="the large model settings")
     args = parser.parse_args(argv)
     spark = build_session()
-    table = read_table(spark, args.input) if args.input.endswith(".csv") else read_features(spark, args.input)
+    table = read_table(spark, args.input) if args.input.lower().endswith(".csv") else read_features(spark, args.input)
     data = training_set(table, args.target, args.timestamp_col, args.drop_cols, args.test_size,
-                        time_of_day=args.add_time_of_day)
+                        time_of_day=args.add_time_of_day, parts=[args.unit_column] if args.unit_column else [])
     fitted, predictions = train(data, default_models(args.target, fast=not args.full), args.target)
     predictions = stage(predictions, "predictions")
     save_artifacts(spark, data, fitted, predictions, args.output_dir)

@@ -34,9 +34,14 @@ def read_sensor_csv(
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Suffix decides: `.csv` is CSV, anything else parquet."""
+    """Suffix decides: `.csv` is CSV, anything else parquet.
+
+    A CSV with columns of its own (a feature table) has its types inferred; a raw log does not need that.
+    """
     if path.lower().endswith(".csv"):
-        return read_sensor_csv(spark, path)
+        known = {f.name for f in SENSOR_SCHEMA.fields}
+        header = spark.read.csv(path, header=True, enforceSchema=False).columns
+        return read_sensor_csv(spark, path, infer=not known.issuperset(header))
     return spark.read.parquet(path)
 
 

@@ -58,10 +58,9 @@ def test_life_is_capped_but_not_invented(spark):
     assert [r["RUL_minutes"] for r in out] == [60.0, 0.0, None]
 
 
-@pytest.mark.parametrize("whole", [0, 1000])
-def test_units_are_separate_series(spark, whole):
+def test_units_are_separate_series(spark):
     rows = [(0, 1, 0, 1.0), (10, 1, 1, 1.0), (0, 2, 0, 1.0), (20, 2, 1, 1.0), (30, None, 1, 1.0), (0, None, 0, 1.0)]
-    out = labelled_bins(readings(spark, rows), parts=["unit_id"], whole_rows=whole)
+    out = labelled_bins(readings(spark, rows), parts=["unit_id"])
     life = {(r["unit_id"], minutes(r["timestamp_bin"])): r["RUL_minutes"] for r in out.collect()}
     assert life == {(1, 0): 10, (1, 10): 0, (2, 0): 20, (2, 20): 0, (None, 0): 30, (None, 30): 0}
 
@@ -104,12 +103,12 @@ def test_latest_row_per_unit(spark):
     assert table(rul.latest_rows(df, "unit", "ts").select("unit", "v"), "unit") == [(1, 2.0), (2, 3.0)]
 
 
-def test_whole_and_chunked_series_agree(spark):
+def test_long_and_short_blocks_agree(spark):
     rng = np.random.default_rng(4)
     rows = [(int(m), u, int(rng.random() < 0.1), float(rng.random())) for u in (1, 2, None)
             for m in np.cumsum(rng.integers(2, 900, 60))]
     df = readings(spark, rows)
     whole = rul_features(df, parts=["unit_id"])
-    chunked = rul_features(df, parts=["unit_id"], block_rows=16, whole_rows=0)
+    chunked = rul_features(df, parts=["unit_id"], block_rows=16)
     assert whole.columns == chunked.columns
     same(table(whole, "unit_id", "timestamp_bin"), table(chunked, "unit_id", "timestamp_bin"))

@@ -62,9 +62,18 @@ def test_null_time_is_the_first_row(spark):
     assert [(r["pos"], r["v"]) for r in out.collect()] == [(0, 1.0), (1, 2.0), (2, 3.0)]
 
 
-def test_halo_needs_blocks_as_long_as_the_frame(spark):
-    with pytest.raises(ValueError, match="block_rows"):
-        with_halo(spark.range(3), "id", 5, lambda w: [], block_rows=4)
+def test_halo_takes_any_frame(spark):
+    from pyspark.sql import functions as F
+    out = with_halo(spark.range(40), "id", 9, lambda w: [F.count("id").over(w.rowsBetween(-9, -1)).alias("n")], block_rows=4)
+    assert {r["id"]: r["n"] for r in out.collect()} == {i: min(i, 9) for i in range(40)}
+
+
+def test_positions_split_a_day_of_ties(spark):
+    from gaugeline.operators.ordered import positions
+    df = spark.range(5000).selectExpr("id % 7 as t", "id as u")
+    placed, n = positions(df, ["t", "u"], "pos")
+    got = [(r["t"], r["u"]) for r in placed.orderBy("pos").collect()]
+    assert n == 5000 and got == sorted(got)
 
 
 def test_time_range_frames_shrink_at_gaps(spark):

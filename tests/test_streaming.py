@@ -41,6 +41,18 @@ def test_state_carries_the_last_failure_over_restarts(spark):
     assert got == {(1, 0): None, (1, 2): 0.0, (1, 4): 2.0, (2, 0): None, (1, 10): 8.0, (1, 12): 0.0, (2, 6): 0.0}
 
 
+def test_state_never_falls(spark):
+    source, out, progress = (new_path(spark, f"test-{n}") for n in ("late-in", "late", "late-progress"))
+    schema = "unit_id string,timestamp_bin ts,failure int"
+    batches = [[("a", 10, 1), ("a", 12, 0)], [("a", 5, 0), ("a", 4, 1)], [("a", 14, 0), ("a", 11, 0)]]
+    for rows in batches:
+        first = series(spark, rows, schema)
+        add(first, source)
+        live.run_to_table(live.live_since_failure(live.read_stream(spark, first, source)), out, progress)
+    got = {minutes(r["timestamp_bin"]): r["minutes_since_last_failure"] for r in spark.read.parquet(out).collect()}
+    assert got == {10: 0.0, 12: 2.0, 4: 0.0, 5: 1.0, 14: 4.0, 11: 1.0}
+
+
 def test_drift_of_unchanged_data_is_zero(spark):
     rows = [(m, float(m % 10)) for m in range(0, 1000)]
     train = series(spark, rows, "timestamp_bin ts,x double")
@@ -60,5 +72,5 @@ def test_scoring_a_replayed_batch_writes_once(spark):
     train = bins.selectExpr("Motor_current_avg", "Motor_current_avg - 2 as Motor_current_avg_lag1", "Motor_current_avg as RUL_minutes")
     model = models.fit(train, names, models.forest(numTrees=2, maxDepth=3))
     for attempt in ("a", "b"):
-        live.score_bins(live.read_stream(spark, bins, source), model, names, source, out, new_path(spark, f"test-{attempt}"))
+        live.score_bins(live.read_stream(spark, bins, source), model, names, out, new_path(spark, f"test-{attempt}"), {})
     assert table(spark.read.parquet(out).groupBy("unit_id").count()) == [(1, 20)]
