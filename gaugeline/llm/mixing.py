@@ -7,8 +7,10 @@ copies of each document for certain. The rest is an unequal-probability sample:
 source the inclusion odds grow with a document's importance class (the bit length of its
 size unless another is given), scaled so that the expected words meet the rest of the target,
 classes that would exceed 1 being certain. Each document draws u from its key and gets the
-Pareto rank (u / (1 - u)) / (p / (1 - p)); documents are taken in rank order for as long as that
-brings the source's words nearer to its target, so the miss is at most half a document.
+Pareto rank (u / (1 - u)) / (p / (1 - p)); documents are taken in rank order while they fit the rest. What is
+left open is filled in the same order from documents that fit it, in `ROUNDS` rounds in all; in the last one a
+document may overshoot if that brings the words nearer to the target. So long documents at the threshold
+do not decide how far off a small source is.
 
 No task sorts a source: words are summed per source and rank interval, about as many intervals as the
 square root of the source's rows, and only the interval that holds the threshold is ordered.
@@ -31,6 +33,7 @@ from ..session import stage
 from .common import count_words, draw, key_text, named, numbered, text_or_empty
 
 SEED = "pareto"
+ROUNDS = 3
 
 
 def bit_length(size: Column) -> Column:
@@ -96,24 +99,45 @@ def _ranked(rows: DataFrame, plan: DataFrame) -> DataFrame:
                                                F.col("intervals").cast("long") - 1))
 
 
-def _thresholds(ranked: DataFrame) -> DataFrame:
-    """Per source: the interval in which its words cross the target, and the last row taken there."""
-    open_rows = ranked.where("p > 0 AND size > 0")
-    sums = open_rows.groupBy("source", "interval").agg(F.sum("size").alias("words"), F.max("rest").alias("rest"))
+def _taken(rounds: int) -> Column:
+    """Whether a row was taken in one of the first `rounds` rounds."""
+    own, any_ = F.struct("rank", "name", "size"), F.lit(False)
+    for k in range(rounds):
+        before = F.col("interval") < F.coalesce(F.col(f"cross{k}"), F.col("intervals").cast("long"))
+        at = (F.col("interval") == F.col(f"cross{k}")) & F.coalesce(own <= F.col(f"last{k}"), F.lit(False))
+        any_ = any_ | (_fits(k) & F.coalesce(before | at, F.lit(False)))
+    return any_
+
+
+def _fits(k: int) -> Column:
+    reach = 2 if k + 1 == ROUNDS else 1
+    return (F.col("p") > 0) & (F.col("size") > 0) & (F.col("size") <= reach * F.col(f"gap{k}"))
+
+
+def _with_round(rows: DataFrame, plan: DataFrame, k: int) -> DataFrame:
+    """The plan with round `k`: the interval in which the fitting words cross the gap, and the last row taken there."""
+    open_rows = _ranked(rows, plan).where(_fits(k) & ~_taken(k)).withColumn("gap", F.col(f"gap{k}"))
+    sums = open_rows.groupBy("source", "interval").agg(F.sum("size").alias("words"), F.max("gap").alias("gap"))
     order = Window.partitionBy("source").orderBy("interval").rowsBetween(Window.unboundedPreceding, 0)
-    sums = sums.withColumn("after", F.sum("words").over(order)).where("after > rest")
-    crossing = stage(sums.groupBy("source").agg(
-        F.min("interval").alias("cross"), F.min_by(F.col("after") - F.col("words"), "interval").alias("start"),
-    ), "crossing")
-    renamed = crossing.withColumnRenamed("source", "_source")
-    inside = open_rows.join(
-        renamed, F.col("source").eqNullSafe(F.col("_source")) & (F.col("interval") == F.col("cross")))
-    last = Window.partitionBy("source").orderBy("rank", "name", "size").rowsBetween(Window.unboundedPreceding, 0)
-    inside = inside.withColumn("after", F.col("start") + F.sum("size").over(last)) \
-        .where(2 * F.col("after") - F.col("size") <= 2 * F.col("rest"))
-    ends = inside.groupBy("source").agg(F.max(F.struct("rank", "name", "size")).alias("last"))
-    ends = ends.withColumnRenamed("source", "_source")
-    return crossing.join(ends, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source", "start")
+    sums = stage(sums.withColumn("after", F.sum("words").over(order)), "intervals")
+    crossing = sums.where("after > gap").groupBy("source").agg(
+        F.min("interval").alias("cross"), F.min_by(F.col("after") - F.col("words"), "interval").alias("start"))
+    found = crossing.withColumnRenamed("source", "_source")
+    inside = open_rows.join(found, F.col("source").eqNullSafe(F.col("_source")) & (F.col("interval") == F.col("cross")))
+    upto = Window.partitionBy("source").orderBy("rank", "name", "size").rowsBetween(Window.unboundedPreceding, 0)
+    inside = inside.withColumn("after", F.col("start") + F.sum("size").over(upto))
+    near = 2 * F.col("after") - F.col("size") <= 2 * F.col("gap") if k + 1 == ROUNDS else F.col("after") <= F.col("gap")
+    ends = inside.where(near).groupBy("source").agg(
+        F.max(F.struct("rank", "name", "size")).alias(f"last{k}"), F.max("after").alias("reached"))
+    whole = sums.groupBy("source").agg(F.max("after").alias("all")).withColumnRenamed("source", "_s")
+    same = [F.col("_s").eqNullSafe(F.col(c)) for c in ("_c", "_e")]
+    done = whole.join(crossing.withColumnRenamed("source", "_c"), same[0], "left") \
+        .join(ends.withColumnRenamed("source", "_e"), same[1], "left")
+    used = F.when(F.col("cross").isNull(), F.col("all")).otherwise(F.coalesce("reached", "start"))
+    done = done.select("_s", F.col("cross").alias(f"cross{k}"), f"last{k}", used.alias("_used"))
+    joined = plan.join(done, F.col("source").eqNullSafe(F.col("_s")), "left")
+    return stage(joined.withColumn(f"gap{k + 1}", F.greatest(
+        F.col(f"gap{k}") - F.coalesce("_used", F.lit(0)), F.lit(0.0))).drop("_s", "_used"), "plan")
 
 
 def _slim(docs: DataFrame, key: str, text: str, source: str, importance: Column | None) -> list[Column]:
@@ -126,10 +150,7 @@ def _slim(docs: DataFrame, key: str, text: str, source: str, importance: Column
 
 
 def _decided(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    inside = F.struct("rank", "name", "size") <= F.col("last")
-    taken = F.when((F.col("p") > 0) & (F.col("size") > 0), (F.col("interval") < F.col("cross"))
-                   | ((F.col("interval") == F.col("cross")) & F.coalesce(inside, F.lit(False)))).otherwise(F.lit(False))
-    return _ranked(rows, plan).withColumn("copies", F.col("whole") + taken.cast("long")) \
+    return _ranked(rows, plan).withColumn("copies", F.col("whole") + _taken(ROUNDS).cast("long")) \
         .withColumn("taken", F.col("copies") * F.col("size"))
 
 
@@ -145,9 +166,9 @@ def mix(
     """
     made = _slim(docs, key, text, source, importance)
     rows = stage(docs.select(named(key).alias("_key"), *made), "sizes")
-    plan = stage(_scaled(rows, source_targets(rows, weights, share, cap)), "plan")
-    ends = _thresholds(_ranked(rows, plan)).withColumnRenamed("source", "_s")
-    plan = stage(plan.join(ends, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s"), "plan")
+    plan = stage(_scaled(rows, source_targets(rows, weights, share, cap)).withColumn("gap0", F.col("rest")), "plan")
+    for k in range(ROUNDS):
+        plan = _with_round(rows, plan, k)
     if carry:
         rows = docs.select(F.struct(*[named(c) for c in docs.columns]).alias("_row"), named(key).alias("_key"), *made)
     return _decided(rows, plan).select(
