@@ -37,13 +37,14 @@ from .common import key_text, named, text_or_empty
 from .rows import by_batch
 
 WINDOW, STRIDE = 32, 24
-HEADS, SHARED = 80, 16  # classes of one id, classes of many
+HEADS, SHARED = 104, 24  # classes of one id, classes of many
 KNOWN = 1024            # ids with an embedding of their own
 WIDTH, INNER = 16, 32
 HOT_WORDS = 300_000
 REPLICAS, ROUNDS = 12, 3
-BATCH = 256
-MASK = np.where(np.tril(np.ones((WINDOW, WINDOW), bool)), 0, -1e9).astype(np.float32)
+LIMIT = np.float32(50)  # bound of exponents
+BATCH = 64              # windows at once: their arrays stay in a core's cache
+PAST = np.tril(np.ones((WINDOW, WINDOW), np.float32))
 
 
 class Vocabulary(NamedTuple):
@@ -77,7 +78,7 @@ def with_pairs(vocab: Vocabulary, pairs: np.ndarray) -> Vocabulary:
 
 
 SHAPES = {
-    "ids": (KNOWN + HEADS + SHARED, WIDTH), "places": (WINDOW, WIDTH), "qkv": (WIDTH, 3 * WIDTH), "mix": (WIDTH, WIDTH),
+    "ids": (KNOWN + HEADS + SHARED, WIDTH), "places": (WINDOW, WIDTH), "qkv": (WIDTH, 3 * WIDTH),
     "inner": (WIDTH, INNER), "inner_bias": (INNER,), "outer": (INNER, WIDTH), "classes": (WIDTH, HEADS + SHARED),
 }
 
@@ -109,43 +110,40 @@ def windows(ids: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
 
 def run(p: dict[str, np.ndarray], vocab: Vocabulary, x: np.ndarray) -> dict[str, np.ndarray]:
     """Hidden states of a batch of windows of ids, with what gradients need."""
-    count = len(x)
     rows = vocab.row[x]
-    h0 = p["ids"][rows] + p["places"]
-    q, k, v = np.split((h0.reshape(-1, WIDTH) @ p["qkv"]).reshape(count, WINDOW, -1), 3, axis=2)
+    h0 = np.take(p["ids"], rows, axis=0)
+    h0 += p["places"]
+    qkv = (h0.reshape(-1, WIDTH) @ p["qkv"]).reshape(len(x), WINDOW, -1)
+    q, k, v = qkv[:, :, :WIDTH], qkv[:, :, WIDTH:2 * WIDTH], qkv[:, :, 2 * WIDTH:]
     a = np.matmul(q, k.transpose(0, 2, 1))
-    a *= np.float32(WIDTH**-0.5)
-    a += MASK
-    a -= a.max(-1, keepdims=True)
+    np.clip(a, -LIMIT, LIMIT, out=a)
     np.exp(a, out=a)
+    a *= PAST
     a /= a.sum(-1, keepdims=True)
-    seen = np.matmul(a, v)
-    h1 = h0 + (seen.reshape(-1, WIDTH) @ p["mix"]).reshape(h0.shape)
+    h1 = h0 + np.matmul(a, v)
     u = np.maximum(h1.reshape(-1, WIDTH) @ p["inner"] + p["inner_bias"], 0)
     h2 = h1 + (u @ p["outer"]).reshape(h1.shape)
-    return {"rows": rows, "h0": h0, "q": q, "k": k, "v": v, "a": a, "seen": seen, "h1": h1, "u": u, "h2": h2}
+    return {"rows": rows, "h0": h0, "q": q, "k": k, "v": v, "a": a, "h1": h1, "u": u, "h2": h2}
 
 
 def class_logits(p: dict[str, np.ndarray], vocab: Vocabulary, h: np.ndarray, before: np.ndarray) -> np.ndarray:
-    return h @ p["classes"] + vocab.pairs[vocab.klass[before]]
+    logits = h @ p["classes"]
+    logits += np.take(vocab.pairs, vocab.klass[before], axis=0)
+    return np.minimum(logits, LIMIT, out=logits)
 
 
 def log_chances(p: dict[str, np.ndarray], vocab: Vocabulary, x: np.ndarray, y: np.ndarray, score: np.ndarray) -> np.ndarray:
     """Natural log chance of each scored target, in window order."""
-    h = run(p, vocab, x)["h2"][score]
     target = y[score]
-    logits = class_logits(p, vocab, h, x[score])
-    top = logits.max(1, keepdims=True)
+    logits = class_logits(p, vocab, run(p, vocab, x)["h2"][score], x[score])
     own = logits[np.arange(len(target)), vocab.klass[target]]
-    return own - top[:, 0] - np.log(np.exp(logits - top).sum(1)) + vocab.share[target]
+    return own - np.log(np.exp(logits, out=logits).sum(1)) + vocab.share[target]
 
 
 def gradients(p: dict[str, np.ndarray], vocab: Vocabulary, x: np.ndarray, y: np.ndarray, score: np.ndarray) -> dict[str, np.ndarray]:
     s = run(p, vocab, x)
     h = s["h2"][score]
-    logits = class_logits(p, vocab, h, x[score])
-    logits -= logits.max(1, keepdims=True)
-    d = np.exp(logits)
+    d = np.exp(class_logits(p, vocab, h, x[score]))
     d /= d.sum(1, keepdims=True)
     d[np.arange(len(d)), vocab.klass[y[score]]] -= 1
     d /= max(len(d), 1)
@@ -157,12 +155,10 @@ def gradients(p: dict[str, np.ndarray], vocab: Vocabulary, x: np.ndarray, y: np.
     du = (flat @ p["outer"].T) * (s["u"] > 0)
     g["inner"], g["inner_bias"] = s["h1"].reshape(-1, WIDTH).T @ du, du.sum(0)
     d1 = d2 + (du @ p["inner"].T).reshape(d2.shape)
-    g["mix"] = s["seen"].reshape(-1, WIDTH).T @ d1.reshape(-1, WIDTH)
-    dseen = (d1.reshape(-1, WIDTH) @ p["mix"].T).reshape(d1.shape)
-    da = np.matmul(dseen, s["v"].transpose(0, 2, 1))
-    ds = s["a"] * (da - (s["a"] * da).sum(-1, keepdims=True)) * np.float32(WIDTH**-0.5)
+    da = np.matmul(d1, s["v"].transpose(0, 2, 1))
+    ds = s["a"] * (da - (s["a"] * da).sum(-1, keepdims=True))
     dqkv = np.concatenate([np.matmul(ds, s["k"]), np.matmul(ds.transpose(0, 2, 1), s["q"]),
-                           np.matmul(s["a"].transpose(0, 2, 1), dseen)], axis=2).reshape(-1, 3 * WIDTH)
+                           np.matmul(s["a"].transpose(0, 2, 1), d1)], axis=2).reshape(-1, 3 * WIDTH)
     g["qkv"] = s["h0"].reshape(-1, WIDTH).T @ dqkv
     d0 = d1 + (dqkv @ p["qkv"].T).reshape(d1.shape)
     g["places"] = d0.sum(0)

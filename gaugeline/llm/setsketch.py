@@ -12,13 +12,13 @@ registers get likelier with similarity.
 3. Pairs are judged by the joint likelihood of their register comparisons and, where
    that leaves `target` possible, confirmed on the full sets.
 4. Confirmed links give components. A bucket whose other members all lie in one component is done; in the
-   others all members are compared on registers, block against block, in tasks of bounded size. So no
-   pairs within a group are written but likely ones, and no bucket or partner is capped.
+   others members of different components are compared block against block, in tasks of bounded size: first on
+   registers, then on the full sets of those with a likely partner. So the pairs within a group never
+   become rows, and no bucket or partner is capped.
 
 Recall: with 40 bands of 7 registers a pair at similarity 0.85 shares no bucket with probability
 2e-7, and the likelihood step, 0.09 or four deviations below the target, loses one in about 30,000;
-either matters only where no other link joins the two. Each bucket has a pivot of its own (by a hash),
-so that a large group is joined by many stars at once.
+either matters only where no other link joins the two.
 
 Defined cases: null, empty or blank texts have an empty set and link with nothing; fewer words than a shingle
 make one shingle of them all; rows that repeat an id belong to one document if the texts are
@@ -136,6 +136,12 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[at] == a).sum()) if len(b) else 0
 
 
+def linked(x: bytes, y: bytes, percent: int) -> bool:
+    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    common = overlap(x, y)
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
 def sketches(docs: DataFrame, key: str, text: str, words: int, m: int, rows_per_band: int) -> DataFrame:
     """Per row: id, set size, digest of the set, registers and band keys."""
     def make(batch: dict[str, list]) -> dict[str, list]:
@@ -178,10 +184,9 @@ def components(edges: DataFrame) -> DataFrame:
 class _Finder:
     """The state of one run: classes, their sketches, and the links confirmed so far."""
 
-    def __init__(self, docs: DataFrame, classes: DataFrame, texts: DataFrame, m: int, words: int, percent: int, margin: float):
-        self.docs, self.classes, self.texts = docs, classes, texts
-        self.m, self.words, self.percent, self.margin = m, words, percent, margin
-        self.spark = docs.sparkSession
+    def __init__(self, classes: DataFrame, texts: DataFrame, bands: int, rows: int, words: int, percent: int, margin: float):
+        self.classes, self.texts, self.bands, self.m = classes, texts, bands, bands * rows
+        self.words, self.percent, self.margin = words, percent, margin
         self.links: DataFrame | None = None
 
     def likely(self, pairs: DataFrame) -> DataFrame:
@@ -198,29 +203,29 @@ class _Finder:
             return {c: [v for v, ok in zip(batch[c], good) if ok] for c in ("a", "b")}
         return by_batch(both, make, "a long, b long")
 
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """Pairs whose full sets are similar enough. Only texts named by a pair are read into sets."""
-        pairs = stage(self.likely(pairs), "likely")
-        words, percent = self.words, self.percent
-        wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    def sets(self, wanted: DataFrame) -> DataFrame:
+        """`(id, set)` of the classes in `wanted`; only their texts are read into sets."""
+        words = self.words
 
-        def sets(batch: dict[str, list]) -> dict[str, list]:
+        def make(batch: dict[str, list]) -> dict[str, list]:
             return {"id": batch["id"], "set": [shingles(t, words).tobytes() for t in batch["text"]]}
         named_texts = self.texts.join(wanted, "id", "left_semi").dropDuplicates(["id", "text"])
-        full = stage(by_batch(named_texts, sets, "id long, set binary"), "sets")
+        return stage(by_batch(named_texts, make, "id long, set binary"), "sets")
+
+    def confirmed(self, pairs: DataFrame) -> DataFrame:
+        """Pairs whose full sets are similar enough."""
+        pairs = stage(self.likely(pairs), "likely")
+        percent = self.percent
+        full = self.sets(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
         both = pairs.join(full.toDF("a", "s_a"), "a").join(full.toDF("b", "s_b"), "b")
 
         def make(batch: dict[str, list]) -> dict[str, list]:
-            kept = []
-            for x, y in zip(batch["s_a"], batch["s_b"]):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                common = overlap(x, y)
-                kept.append(100 * common >= percent * (len(x) + len(y) - common))
+            kept = [linked(x, y, percent) for x, y in zip(batch["s_a"], batch["s_b"])]
             return {c: [v for v, ok in zip(batch[c], kept) if ok] for c in ("a", "b")}
         return stage(by_batch(both, make, "a long, b long"), "links")
 
-    def add(self, pairs: DataFrame) -> DataFrame:
-        found = self.confirmed(pairs)
+    def add(self, found: DataFrame) -> DataFrame:
+        """Labels of all classes in links, with those just confirmed."""
         self.links = found if self.links is None else self.links.unionByName(found)
         return components(self.links)
 
@@ -228,55 +233,86 @@ class _Finder:
 def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of buckets that still hold two or more components, with labels."""
     known = members.join(labels, members["id"] == labels["node"], "left").select(
-        "bucket", "id", F.coalesce("label", "id").alias("label"))
+        "bucket", "band", "id", F.coalesce("label", "id").alias("label"))
     mixed_buckets = known.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")) \
         .where("low < high").select("bucket")
     return known.join(mixed_buckets, "bucket", "left_semi")
 
 
-def _blocks(members: DataFrame, classes: DataFrame, finder: _Finder, side: int) -> DataFrame:
-    """Pairs in different components, of all that share a bucket, found on registers block by block.
+def _candidates(pdf: pd.DataFrame, m: int, bands: int, least: float, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers of the likely pairs between block `x` and block `y` of a bucket.
+
+    A pair belongs to the first band that it shares, so that no other bucket repeats it.
+    """
+    table = np.frombuffer(b"".join(pdf["registers"]), np.uint16).reshape(-1, m)
+    ids, tags, sizes, block = (pdf[c].to_numpy() for c in ("id", "label", "n_shingles", "block"))
+    x, y, band = (int(pdf[c].iloc[0]) for c in ("x", "y", "band"))
+    right = np.flatnonzero(block == y)
+    first, second = [np.empty(0, int)], [np.empty(0, int)]
+    for n in np.flatnonzero(block == x):  # rule out by component, size and equal registers, row by row
+        near = right[(ids[right] > ids[n]) if x == y else (ids[right] != ids[n])]
+        low, high = np.minimum(sizes[near], sizes[n]), np.maximum(sizes[near], sizes[n])
+        near = near[(tags[near] != tags[n]) & (100 * low >= percent * high)]
+        same = table[near] == table[n]
+        near, same = (v[same.sum(1) >= (least - SLACK) * m] for v in (near, same))
+        near = near[same.reshape(len(near), bands, m // bands).all(2).argmax(1) == band]
+        first.append(np.full(len(near), n))
+        second.append(near)
+    first, second = np.concatenate(first), np.concatenate(second)
+    good = [likely_similar(table[f], table[g], sizes[f].astype(float), sizes[g].astype(float), least)
+            for f, g in ((first[at:at + 4096], second[at:at + 4096]) for at in range(0, len(first), 4096))]
+    good = np.concatenate([*good, np.empty(0, bool)]).astype(bool)
+    return first[good], second[good]
+
+
+def _block_links(members: DataFrame, finder: _Finder, side: int) -> DataFrame:
+    """Confirmed links between components, of all pairs that share a bucket, found block by block.
 
     A bucket's members are cut into blocks of about `side`, those of its commonest component apart from the rest;
-    blocks of the rest meet every block, those of the commonest component do not meet each other.
+    blocks of the rest meet every block, those of the commonest component do not meet each other. A first pass
+    on registers says which members have a likely partner in which meeting; only their sets are sent there, where
+    the pairs are confirmed and a spanning part of the links is returned. Pairs never become rows.
     """
-    main = members.groupBy("bucket").agg(F.mode("label", True).alias("main"))
+    main = members.groupBy("bucket").agg(
+        F.mode("label", True).alias("main"))
     cut = members.join(main, "bucket").withColumn("rest", F.col("label") != F.col("main"))
-    count = members.join(main, "bucket").groupBy("bucket", "main").agg(
-        F.ceil(F.count_if(F.col("label") != F.col("main")) / side).cast("int").alias("others"),
-        F.ceil(F.count_if(F.col("label") == F.col("main")) / side).cast("int").alias("mains")).drop("main")
-    own = F.when(F.col("rest"), F.pmod(F.xxhash64("id"), "others")).otherwise(
-        F.col("others") + F.pmod(F.xxhash64("id"), "mains")).cast("int")
+    count = cut.groupBy("bucket").agg(
+        F.ceil(F.count_if("rest") / side).cast("int").alias("others"), F.ceil(F.count_if(~F.col("rest")) / side).cast("int").alias("mains"))
+    own = F.when(F.col("rest"), F.pmod(F.xxhash64("id"), F.greatest("others", F.lit(1)))).otherwise(
+        F.col("others") + F.pmod(F.xxhash64("id"), F.greatest("mains", F.lit(1)))).cast("int")
     last = F.when(F.col("rest"), F.col("others") + F.col("mains")).otherwise(F.col("others")) - 1
     met = cut.join(count, "bucket").select(
-        "bucket", "id", "label", own.alias("block"), F.explode(F.sequence(F.lit(0), last)).alias("other"))
-    keyed = met.select("bucket", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "id", "label")
-    full = keyed.join(classes.select("id", "n_shingles", "registers"), "id")
-    m, least, percent = finder.m, finder.percent / 100 - finder.margin, finder.percent
-
-    def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
-        table = np.frombuffer(b"".join(pdf["registers"]), np.uint16).reshape(-1, m)
-        ids, tags, sizes = (pdf[c].to_numpy() for c in ("id", "label", "n_shingles"))
-        x, y = pdf["x"].iloc[0], pdf["y"].iloc[0]
-        left, right = (np.flatnonzero(pdf["block"] == v) for v in (x, y))
-        first, second = [], []
-        for n in left:  # rule out by size, component and equal registers, row by row
-            near = right[(ids[right] > ids[n]) if x == y else (ids[right] != ids[n])]
-            low, high = np.minimum(sizes[near], sizes[n]), np.maximum(sizes[near], sizes[n])
-            near = near[(tags[near] != tags[n]) & (100 * low >= percent * high)]
-            near = near[(table[near] == table[n]).sum(1) >= (least - SLACK) * m]
-            first.append(np.full(len(near), n))
-            second.append(near)
-        first, second = np.concatenate([*first, np.empty(0, int)]).astype(int), np.concatenate([*second, np.empty(0, int)]).astype(int)
+        "bucket", "band", "id", "label", own.alias("block"), F.explode(F.sequence(F.lit(0), last)).alias("other"))
+    keyed = met.select("bucket", "band", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "id", "label")
+    sketch = finder.classes.select("id", "n_shingles", "registers")
+    tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # small rows, long work: not to be coalesced
+    meeting = ["bucket", "x", "y"]
+    m, bands, least, percent = finder.m, finder.bands, finder.percent / 100 - finder.margin, finder.percent
+
+    def partnered(pdf: pd.DataFrame) -> pd.DataFrame:
+        first, second = _candidates(pdf, m, bands, least, percent)
+        return pdf.iloc[np.union1d(first, second)][["bucket", "band", "x", "y", "block", "id", "label"]]
+    ddl = "bucket long, band int, x int, y int, block int, id long, label long"
+    needed = stage(keyed.join(sketch, "id").repartition(tasks, *meeting).groupBy(*meeting).applyInPandas(partnered, ddl), "partnered")
+    full = finder.sets(needed.select("id").distinct())
+
+    def confirm(pdf: pd.DataFrame) -> pd.DataFrame:
+        ids, tags, sets = pdf["id"].to_numpy(), pdf["label"].to_numpy(), pdf["set"].to_numpy()
+        root: dict[int, int] = {}
+
+        def top(t: int) -> int:
+            while root.get(t, t) != t:
+                t = root[t]
+            return t
         found = []
-        for at in range(0, len(first), 4096):
-            f, g = first[at:at + 4096], second[at:at + 4096]
-            good = likely_similar(table[f], table[g], sizes[f].astype(float), sizes[g].astype(float), least)
-            found.append(np.sort(np.stack([ids[f[good]], ids[g[good]]], axis=1), axis=1))
-        return pd.DataFrame(np.concatenate([*found, np.empty((0, 2), np.int64)]).astype(np.int64), columns=["a", "b"])
-    tasks = int(full.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # small rows, long work: not to be coalesced
-    full = full.repartition(tasks, "bucket", "x", "y")
-    return full.groupBy("bucket", "x", "y").applyInPandas(pairs, "a long, b long").distinct()
+        for f, g in zip(*_candidates(pdf, m, bands, least, percent)):
+            a, b = top(tags[f]), top(tags[g])
+            if a != b and linked(sets[f], sets[g], percent):
+                root[max(a, b)] = min(a, b)
+                found.append((min(ids[f], ids[g]), max(ids[f], ids[g])))
+        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+    rows = needed.join(sketch, "id").join(full, "id").repartition(tasks, *meeting)
+    return stage(rows.groupBy(*meeting).applyInPandas(confirm, "a long, b long"), "links")
 
 
 def near_duplicates(
@@ -289,15 +325,16 @@ def near_duplicates(
     classes = stage(linked.groupBy("digest", "n_shingles").agg(
         F.min("id").alias("id"), F.min_by("registers", "id").alias("registers"), F.min_by("bands", "id").alias("bands")), "classes")
     texts = docs.select(named(key).cast("long").alias("id"), named(text).cast("string").alias("text"))
-    finder = _Finder(docs, classes, texts, bands * rows_per_band, words, percent, margin)
-    members = classes.select("id", F.explode("bands").alias("bucket")).repartition("bucket")  # one shuffle serves both sides
+    finder = _Finder(classes, texts, bands, rows_per_band, words, percent, margin)
+    members = classes.select("id", F.posexplode("bands").alias("band", "bucket")).repartition("bucket")  # one shuffle serves both sides
     shared = members.groupBy("bucket").agg(
-        F.min_by("id", F.xxhash64("id", "bucket")).alias("pivot"), F.count("*").alias("n")).where("n > 1")
-    members = stage(members.join(shared, "bucket").select("bucket", "id", "pivot"), "members")
-    labels = finder.add(members.where("id <> pivot").select(F.least("pivot", "id").alias("a"), F.greatest("pivot", "id").alias("b")).distinct())
-    members = stage(_open(members.where("id <> pivot").select("bucket", "id"), labels), "open")
-    if members.limit(1).count():
-        labels = finder.add(_blocks(members, classes, finder, block))
+        F.min("id").alias("pivot"), F.count("*").alias("n")).where("n > 1")
+    members = stage(members.join(shared, "bucket").select("bucket", "band", "id", "pivot"), "members")
+    star = members.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
+    labels = finder.add(finder.confirmed(star))
+    rest = stage(_open(members.where("id <> pivot"), labels), "open")
+    if rest.limit(1).count():
+        labels = finder.add(_block_links(rest, finder, block))
     groups = classes.join(labels, classes["id"] == labels["node"], "left").select(
         "digest", "n_shingles", F.coalesce("label", "id").alias("component_id"))
     rows = made.select("id", "n_shingles", "digest")
