@@ -40,7 +40,7 @@ WINDOW, STRIDE = 32, 24
 HEADS, SHARED = 104, 24  # classes of one id, classes of many
 KNOWN = 1024            # ids with an embedding of their own
 WIDTH, INNER = 16, 32
-HOT_WORDS = 300_000
+HOT_WORDS = 100_000
 REPLICAS, ROUNDS = 12, 3
 LIMIT = np.float32(50)  # bound of exponents
 BATCH = 64              # windows at once: their arrays stay in a core's cache
@@ -223,6 +223,18 @@ def word_counts(rows: DataFrame) -> DataFrame:
     return stage(counted.groupBy("word").agg(F.sum("n").alias("n")), "words")
 
 
+def _commonest(words: DataFrame, most: int) -> DataFrame:
+    """Words above the lowest count that at most `most` words reach, found from a histogram of a few hundred rows."""
+    steps = words.groupBy(F.floor(F.log2("n") * 8).alias("step")).count().collect()
+    taken, least = 0, None
+    for step, count in sorted(map(tuple, steps), reverse=True):
+        taken += count
+        if taken > most:
+            break
+        least = step
+    return words.where(F.floor(F.log2("n") * 8) >= least) if least is not None else words.limit(0)
+
+
 def _prepared(rows: DataFrame, hot: dict[bytes, float], path: str, end: int) -> DataFrame:
     """Per row: ids of the text and the base score of its common words; rarer words are listed."""
     shared = rows.sparkSession.sparkContext.broadcast(hot)
@@ -278,7 +290,7 @@ def _counted(prepared: DataFrame, path: str) -> Vocabulary:
     return with_pairs(vocab, _bincounts(learned, pairs, wide * wide).reshape(wide, wide))
 
 
-def fit(prepared: DataFrame, vocab: Vocabulary, fit_share: int = 24, rate: float = 6e-3) -> np.ndarray:
+def fit(prepared: DataFrame, vocab: Vocabulary, fit_share: int = 64, rate: float = 6e-3) -> np.ndarray:
     """Weights from one in `fit_share` training texts, by averaged rounds of `REPLICAS` tasks."""
     spark = prepared.sparkSession
     chosen = prepared.where(~F.col("held_out") & (F.pmod(F.xxhash64("key", F.lit("fit")), F.lit(fit_share)) == 0))
@@ -350,7 +362,7 @@ def lm_scores(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenize
     words = word_counts(rows)
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     below = np.log10(total + 0.5 * (distinct + 1))
-    hot = {bytes(w): float(np.log10(n + 0.5) - below) for w, n in words.orderBy(F.desc("n"), "word").limit(HOT_WORDS).collect()}
+    hot = {bytes(w): float(np.log10(n + 0.5) - below) for w, n in _commonest(words, HOT_WORDS).collect()}
     prepared = _prepared(rows, hot, path, 0)
     vocab = _counted(prepared, path)
     done = stage(scored(prepared, vocab, fit(prepared, vocab)), "scored")

@@ -13,7 +13,7 @@ from functools import lru_cache
 
 import numpy as np
 
-CACHED = 600_000
+CACHED = 250_000
 _ODD = re.compile(
     r"\s\s|^\s|\s\Z|[\x00-\x09\x0b-\x1f\x7f-\xa0 ᠎ -‏ -  -⁯　﻿]")
 _VISIBLE = re.compile(r" (?=[!-~À-ɏ])")
@@ -39,8 +39,11 @@ class PieceEncoder:
         self.line = self._ids(["\n"])[0]
 
     def _ids(self, pieces: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(e.ids, "<u2").tobytes() for e in found]
+        made = []
+        for at in range(0, len(pieces), 4000):  # encodings are far larger than their ids
+            found = self.tokenizer.encode_batch_fast(pieces[at:at + 4000], add_special_tokens=False)
+            made += [np.array(e.ids, "<u2").tobytes() for e in found]
+        return made
 
     def _cut(self, text: str) -> list[list[str]]:
         if _ODD.search(text):
