@@ -13,11 +13,14 @@ from functools import lru_cache
 
 import numpy as np
 
-CACHED = 250_000
+CACHED = 300_000
 _ODD = re.compile(
     r"\s\s|^\s|\s\Z|[\x00-\x09\x0b-\x1f\x7f-\xa0 ᠎ -‏ -  -⁯　﻿]")
 _VISIBLE = re.compile(r" (?=[!-~À-ɏ])")
 
+#: A Latin word and the marks after it: two pre-tokens, which many pieces share.
+_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?*%#$&|]*)\Z")
+
 
 def default_path() -> str:
     import public_tokenizers
@@ -29,11 +32,14 @@ class PieceEncoder:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids must fit 16 bits")
+        self.single = Tokenizer.from_file(path)  # for words that are one pre-token
+        self.single.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.marks: dict[str, bytes] = {"": b""}
         self.first: dict[str, bytes] = {}
         self.spaced: dict[str, bytes] = {}
         self.line = self._ids(["\n"])[0]
@@ -50,12 +56,31 @@ class PieceEncoder:
             return [_VISIBLE.split(text)]
         return [line.split(" ") for line in text.split("\n")]
 
+    def _word_ids(self, words: list[str]) -> list[bytes]:
+        made = []
+        for at in range(0, len(words), 4000):
+            found = self.single.encode(words[at:at + 4000], is_pretokenized=True, add_special_tokens=False)
+            ids, owners = np.array(found.ids, "<u2"), np.array(found.word_ids, np.int64)
+            ends = np.searchsorted(owners, np.arange(min(4000, len(words) - at)), "right") * 2
+            raw, start = ids.tobytes(), 0
+            for end in ends.tolist():
+                made.append(raw[start:end])
+                start = end
+        return made
+
     def _learn(self, known: dict[str, bytes], wanted: set[str], before: str) -> None:
-        missing = list(wanted - known.keys())
+        missing = wanted - known.keys()
         if len(known) + len(missing) > CACHED:
             known.clear()
-            missing = list(wanted)
-        known.update(zip(missing, self._ids([before + m for m in missing])))
+            missing = wanted
+        parts = {m: _WORD.match(m) for m in missing}
+        odd = [m for m, part in parts.items() if part is None]
+        known.update(zip(odd, self._ids([before + m for m in odd])))
+        words = list({part[1] for part in parts.values() if part} - known.keys())
+        known.update(zip(words, self._word_ids([before + w for w in words])))
+        marks = list({part[2] for part in parts.values() if part} - self.marks.keys())
+        self.marks.update(zip(marks, self._ids(marks)))
+        known.update((m, known[part[1]] + self.marks[part[2]]) for m, part in parts.items() if part)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [self._cut(t) for t in texts]

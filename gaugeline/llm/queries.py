@@ -11,6 +11,7 @@ import corpus_pipeline
 
 from ..session import stage
 from . import attention_lm, chat, decontam, mil_quality, mixing, ngram_rules, setsketch, sharding, tokenfiles, warczip
+from .twins import TWINS
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,4 +79,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(TWINS)
