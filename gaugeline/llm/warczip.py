@@ -7,7 +7,7 @@ members are stored, and then reads records straight from their place in the arch
 
 Of records with equal payloads that with the largest id is a response, the others are revisits that
 refer to it and hold only the HTTP head. Equality is by SHA-1 and length, found by one aggregate; the
-pages themselves are not shuffled unless the table of repeated payloads is too large to broadcast.
+pages themselves are not shuffled unless the table of repeated payloads has more than `broadcast_rows` rows.
 
 Defined cases: a null payload or URL is written as empty; a null id ranks below all others and refers or is
 referred to as null; rows that share id and payload are all responses if theirs is the largest id;
@@ -153,7 +153,7 @@ class Archive:
 
 
 def write_archives(pages: DataFrame, page: str = "page_id", url: str = "url", html: str = "html", revisit_from: int = 0,
-                   member_bytes: int = 16 << 20) -> DataFrame:
+                   member_bytes: int = 16 << 20, broadcast_rows: int = 500_000) -> DataFrame:
     """The staged manifest, one row per archive: `path, records`."""
     importable(pages.sparkSession)
     folder = new_path(pages.sparkSession, "warc")
@@ -162,7 +162,9 @@ def write_archives(pages: DataFrame, page: str = "page_id", url: str = "url", ht
                         F.sha1(body).alias("sha"), F.octet_length(body).alias("size"))
     again = rows.where(F.col("size") >= revisit_from).groupBy("sha", "size").agg(
         F.max("page").alias("keeper"), F.count("*").alias("n")).where("n > 1").drop("n")
-    marked = rows.join(again, ["sha", "size"], "left")
+    again = stage(again, "repeated")
+    small = again.count() <= broadcast_rows  # some 60 bytes a row
+    marked = rows.join(F.broadcast(again) if small else again, ["sha", "size"], "left")
     revisit = F.col("keeper").isNotNull() & ~F.col("page").eqNullSafe(F.col("keeper"))
     marked = marked.select("page", "url", "body", "keeper", F.coalesce(revisit, F.lit(False)).alias("revisit"))
 
