@@ -108,14 +108,13 @@ def test_shared_dir_comes_from_the_session(spark):
     assert session.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
 
 
-def test_shared_dir_without_setting():
-    def bare(master):
-        context = SimpleNamespace(master=master, applicationId="app-1")
-        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context)
-
-    assert session.shared_dir(bare("local[2]")) == session.shared_dir(bare("local[2]"))
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        session.shared_dir(bare("yarn"))
+def test_shared_dir_is_the_setting_or_below_the_warehouse():
+    def bare(**settings):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: settings.get(key, default)))
+
+    warehouse = {"spark.sql.warehouse.dir": "hdfs:/house"}
+    assert session.shared_dir(bare(**warehouse)) == "hdfs:/house/_staged"
+    assert session.shared_dir(bare(**warehouse, **{"spark.checkpoint.dir": "s3a://b/c/"})) == "s3a://b/c"
 
 
 def test_risk_bands_and_actions(spark):
