@@ -133,7 +133,7 @@ def test_reliability_counts_runs_once(spark):
 def test_worklist_and_history(spark):
     rows = [(1, 0, 50.0), (1, 2, 2000.0), (2, 0, 900.0), (2, 2, 300.0), (3, 2, 10.0)]
     df = series(spark, rows, "unit_id int,timestamp_bin ts,RUL_minutes double")
-    work = kpi.worklist(df)
+    work = kpi.worklist(df, rul="RUL_minutes")
     assert [r["unit_id"] for r in work.collect()] == [3, 2]
     assert kpi.unit_history(df, work).count() == 3
     kept = kpi.dashboard_filter(df, {"unit_id": [1, 2]}, "timestamp_bin", "2024-01-01 00:01:00", "2024-01-01 00:03:00")
