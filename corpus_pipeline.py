@@ -26,8 +26,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates."""
-    return setsketch.one_per_group(docs)
+    """The document with the smallest id of each group of near duplicates (shingles of five words, similarity of 0.8 or more)."""
+    return setsketch.one_per_group(docs, percent=80)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return setsketch.near_duplicates(table(spark, sf_dir, "documents"))
+    return setsketch.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
 def op3_token_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
