@@ -6,10 +6,10 @@ the class. One attention head and a small feed-forward layer over the last `WIND
 class logits, added to the log of smoothed class-pair counts, so that the model starts from
 what the corpus says and learns the rest.
 
-What is gathered from the training texts: word counts, id counts and class-pair counts over all of
-them, and the weights from a fixed share of them, so all grow with the input. Weights are fitted
-by `REPLICAS` tasks, each passing over its part with Adam; after each round they are averaged per
-parameter in Spark. Texts are scored in windows that overlap by `WINDOW - STRIDE` ids; every id is scored
+What is gathered from the training texts: word counts, id counts, class-pair counts and the weights,
+each from all of them. Weights are fitted in `ROUNDS` rounds; each text is learned in one round, by tasks of about
+`PART_IDS` ids that pass over their part with Adam, so the number of tasks grows with the input; after each round they are
+averaged per parameter in Spark. Texts are scored in windows that overlap by `WINDOW - STRIDE` ids; every id is scored
 once, in the first window that reaches it; batches of windows share one masked attention.
 
 Word counts form a table of any size. The commonest `HOT_WORDS` words go to the tasks; other words are
@@ -41,7 +41,7 @@ HEADS, SHARED = 104, 24  # classes of one id, classes of many
 KNOWN = 1024            # ids with an embedding of their own
 WIDTH, INNER = 16, 32
 HOT_WORDS = 100_000
-REPLICAS, ROUNDS = 12, 3
+PART_IDS, ROUNDS = 500_000, 3
 LIMIT = np.float32(50)  # bound of exponents
 BATCH = 64              # windows at once: their arrays stay in a core's cache
 PAST = np.tril(np.ones((WINDOW, WINDOW), np.float32))
@@ -275,7 +275,8 @@ def _bincounts(ids: DataFrame, make, size: int) -> np.ndarray:
     return out
 
 
-def _counted(prepared: DataFrame, path: str) -> Vocabulary:
+def _counted(prepared: DataFrame, path: str) -> tuple[Vocabulary, int]:
+    """Classes and their pairs from the training texts, and the number of ids in these."""
     tokenizer = encoder(path).tokenizer
     size = tokenizer.get_vocab_size() + 1
     end = size - 1
@@ -287,17 +288,18 @@ def _counted(prepared: DataFrame, path: str) -> Vocabulary:
     def pairs(ids: np.ndarray) -> np.ndarray:
         c = klass[np.concatenate([[end], ids, [end]])]
         return np.bincount(c[:-1] * wide + c[1:], minlength=wide * wide)
-    return with_pairs(vocab, _bincounts(learned, pairs, wide * wide).reshape(wide, wide))
+    return with_pairs(vocab, _bincounts(learned, pairs, wide * wide).reshape(wide, wide)), int(counts.sum())
 
 
-def fit(prepared: DataFrame, vocab: Vocabulary, fit_share: int = 64, rate: float = 6e-3) -> np.ndarray:
-    """Weights from one in `fit_share` training texts, by averaged rounds of `REPLICAS` tasks."""
+def fit(prepared: DataFrame, vocab: Vocabulary, n_ids: int, rate: float = 6e-3) -> np.ndarray:
+    """Weights from all training texts, which hold `n_ids` ids: each is learned in one of `ROUNDS` averaged rounds."""
     spark = prepared.sparkSession
-    chosen = prepared.where(~F.col("held_out") & (F.pmod(F.xxhash64("key", F.lit("fit")), F.lit(fit_share)) == 0))
-    chosen = stage(chosen.select("ids", F.pmod(F.xxhash64("row"), F.lit(REPLICAS)).cast("int").alias("part")).repartition(REPLICAS, "part"), "fit")
+    parts = max(1, round(n_ids / ROUNDS / PART_IDS))
+    learned = prepared.where("NOT held_out").select("row", "ids")
     flat = initial()
     schema = pa.schema([("weight", pa.int64()), ("values", pa.list_(pa.float32()))])
     for turn in range(ROUNDS):
+        chosen = learned.where(F.pmod(F.xxhash64("row"), F.lit(ROUNDS)) == turn)
         shared = spark.sparkContext.broadcast((flat, vocab))
         pace = rate * (1 - turn / ROUNDS)
 
@@ -310,7 +312,7 @@ def fit(prepared: DataFrame, vocab: Vocabulary, fit_share: int = 64, rate: float
             if trainer.seen:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([trainer.seen], pa.int64()), pa.array([trainer.flat.tolist()], schema.field(1).type)], schema=schema)
-        made = chosen.repartition(REPLICAS, "part").select("ids").mapInArrow(learn, "weight long, values array<float>")
+        made = chosen.repartition(parts, "row").select("ids").mapInArrow(learn, "weight long, values array<float>")
         each = made.select("weight", F.posexplode("values").alias("at", "value"))
         mean = each.groupBy("at").agg((F.sum(F.col("value") * F.col("weight")) / F.sum("weight")).alias("value")).collect()
         for at, value in mean:
@@ -364,8 +366,8 @@ def lm_scores(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenize
     below = np.log10(total + 0.5 * (distinct + 1))
     hot = {bytes(w): float(np.log10(n + 0.5) - below) for w, n in _commonest(words, HOT_WORDS).collect()}
     prepared = _prepared(rows, hot, path, 0)
-    vocab = _counted(prepared, path)
-    done = stage(scored(prepared, vocab, fit(prepared, vocab)), "scored")
+    vocab, n_ids = _counted(prepared, path)
+    done = stage(scored(prepared, vocab, fit(prepared, vocab, n_ids)), "scored")
     rare = done.select("row", F.explode("rare").alias("r")).select("row", F.col("r.word").alias("word"), F.col("r.n").alias("times"))
     met = rare.join(words, "word", "left").groupBy("row").agg(
         F.sum(F.col("times") * (F.log10(F.coalesce("n", F.lit(0)) + F.lit(0.5)) - F.lit(float(below)))).alias("rare_score"),
