@@ -473,7 +473,7 @@ def _scored_sql() -> str:
     return f"SELECT unit_id, timestamp_bin, {', '.join(cols)}, true AS is_finite FROM finished"
 
 
-@entry("stream_scoring", FINISHED + _scored_sql())
+@entry("stream_scoring")
 def stream_scoring(spark, sf_dir):
     """Features of live bins over two batches, scored with a model trained on the batch table of the same units."""
     from ..operators import models, prep
@@ -490,7 +490,12 @@ def stream_scoring(spark, sf_dir):
         part.write.mode("append").parquet(halves)
         live.score_bins(live.read_stream(spark, table, halves), model, SCORED, out, f"{halves}-progress", fills,
                         rows_back=3, roll_minutes=60)
-    scored = spark.read.parquet(out)
+    return spark.read.parquet(out).select("unit_id", "timestamp_bin", *SCORED, "y_pred")
+
+
+@entry("stream_scoring_check", FINISHED + _scored_sql())
+def stream_scoring_check(spark, sf_dir):
+    scored = stream_scoring(spark, sf_dir)
     finite = ~F.isnan("y_pred") & F.col("y_pred").isNotNull()
     return rounded(scored.select("unit_id", "timestamp_bin", *SCORED, finite.alias("is_finite")))
 
