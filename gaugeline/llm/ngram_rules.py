@@ -1,11 +1,10 @@
 """Quality rules: plain counts, then a hashed n-gram likelihood ratio that every document must pass.
 
 Words and word pairs are hashed into two halves of `buckets` counts. `raw` counts all
-documents, `target` those of a sample of trusted labels (quality 1, not toxic), smoothed
+documents, `target` those of all trusted labels (quality 1, not toxic), smoothed
 towards raw by one pseudo-count per bucket. A document's score is the mean over its n-grams
 of ln(target share / raw share); it is kept if the counts do not fail it and the score is at
-least `least`. Trusted labels are a sample of at most `trusted_rows` rows by a hash of
-their key, which bounds the broadcast; all counts cover all documents.
+least `least`. The keys of trusted labels are joined, so their number is not bounded.
 
 All work is done by built-in functions: n-grams are hashed inside each row, counting is one
 aggregate with at most `buckets` rows per task, and the finished table (one number per
@@ -71,13 +70,12 @@ def _grams(hashes: Column, buckets: int) -> Column:
 
 def gram_weights(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", buckets: int = 1 << 14,
-    trusted_rows: int = 20_000,
 ) -> list[float]:
     """ln(target share / raw share) per bucket."""
     trusted = labels.where((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).where(named(key).isNotNull())
-    trusted = trusted.select(named(key).alias("_trusted")).distinct().orderBy(F.xxhash64("_trusted"), "_trusted").limit(trusted_rows)
+    trusted = trusted.select(named(key).alias("_trusted")).distinct()
     hashed = docs.select(named(key).alias("_key"), _hashed(words_of(text_or_empty(text))).alias("_h"))
-    hashed = hashed.join(F.broadcast(trusted), F.col("_key") == F.col("_trusted"), "left")
+    hashed = hashed.join(trusted, F.col("_key") == F.col("_trusted"), "left")
     grams = hashed.select(F.col("_trusted").isNotNull().alias("good"), F.explode(_grams(F.col("_h"), buckets)).alias("gram"))
     counted = grams.groupBy("gram").agg(F.count("*").alias("raw"), F.count_if("good").alias("target")).collect()
     raw, target = [1.0] * buckets, [0.0] * buckets
