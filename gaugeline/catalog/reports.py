@@ -529,7 +529,7 @@ def saved_model_eval_check(spark, sf_dir):
 
 # ---- the same per unit -------------------------------------------------------
 
-UNIT_STEPS = 5
+UNIT_STEPS = prep.SEQUENCE_LENGTH
 _UNIT = ",".join([SENSOR, bins_sql(60, True), rul_sql(True), features_sql(True, 1, 60)])
 _UNIT_FILL = ", ".join(
     f"coalesce({c}::DOUBLE, (SELECT quantile_cont({c}::DOUBLE, 0.5) FROM split WHERE split = 'train')) AS {c}"
