@@ -56,7 +56,16 @@ def only_defined(df: DataFrame, column: str = "RUL_minutes") -> DataFrame:
 
 
 def complete_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.dropna(how="any", subset=list(columns))
+    """Rows without a NULL or NaN in `columns`, one condition per column.
+
+    `dropna` is a single condition over all of them; where the columns are computed, the
+    optimizer derives one variant of it per subset, and planning never ends.
+    """
+    fractional = {f.name for f in df.schema if f.dataType.typeName() in ("double", "float")}
+    for c in columns:
+        there = F.col(f"`{c}`").isNotNull()
+        df = df.filter(there & ~F.isnan(f"`{c}`") if c in fractional else there)
+    return df
 
 
 def finite_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -13,7 +14,7 @@ from ..functions.numeric import equal_width_bin, finite
 from ..functions.quantiles import percentile_arrays
 from ..schema import COUNTED_SIGNALS, numeric_columns
 from ..session import importable
-from .clean import complete_rows, finite_columns, melt
+from .clean import finite_columns, melt
 from .enrich import around_events
 
 HOUR = 3600
@@ -140,23 +141,29 @@ def correlations(
     """(a, b, r) for every pair of columns in column order, each column with itself included.
 
     Pairwise by default: each pair uses the rows where both are present.
-    `listwise` first drops every row with a NULL in any column. r is NULL where
-    a column does not vary.
+    `listwise` uses only rows where all columns are. r is NULL where a column does not vary.
+    """
+    return correlation_tables(df, columns, ("listwise" if listwise else "pairwise",)).drop("rows")
+
+
+def correlation_tables(
+    df: DataFrame, columns: Sequence[str] | None = None, rows: Sequence[str] = ("pairwise", "listwise"),
+) -> DataFrame:
+    """(rows, a, b, r): one matrix per rule of which rows count, all from the same pass.
 
-    One pass: each task reduces its rows to sums per pair, Spark adds those up.
-    As separate aggregate expressions the pairs would outgrow compiled code.
+    Each task reduces its rows to sums per pair, Spark adds those up. As separate aggregate
+    expressions the pairs would outgrow compiled code. The listwise rule is a mask inside
+    that reduction, so it costs neither a filter nor a pass.
     """
     columns = list(columns) if columns is not None else numeric_columns(df)
     base = df.select(*[finite(c).alias(c) for c in columns])
-    if listwise:
-        base = complete_rows(base, columns)
-    # Sums around the mean keep their digits.
+    # Sums around the mean keep their digits; which mean does not matter.
     means = base.agg(*[F.avg(c).alias(f"_mean_{c}") for c in columns])
     centred = base.crossJoin(F.broadcast(means)).select(
         *[(F.col(c) - F.col(f"_mean_{c}")).alias(c) for c in columns]
     )
     importable(df.sparkSession)
-    sums = centred.mapInPandas(_pair_sums, PAIR_SUMS).groupBy("i", "j").agg(
+    sums = centred.mapInPandas(partial(_pair_sums, rules=tuple(rows)), PAIR_SUMS).groupBy("rows", "i", "j").agg(
         *[F.sum(s).alias(s) for s in ("n", "sx", "sy", "sxx", "syy", "sxy")]
     )
     per_row = F.greatest("n", F.lit(1.0))
@@ -166,26 +173,30 @@ def correlations(
     r = (F.col("sxy") - F.col("sx") * F.col("sy") / per_row) / F.sqrt(vx * vy)
     names = F.array(*[F.lit(c) for c in columns])
     return sums.select(
-        F.get(names, F.col("i")).alias("a"), F.get(names, F.col("j")).alias("b"), F.when(varies, r).alias("r")
+        "rows", F.get(names, F.col("i")).alias("a"), F.get(names, F.col("j")).alias("b"), F.when(varies, r).alias("r")
     )
 
 
-PAIR_SUMS = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
+PAIR_SUMS = "rows string, i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
 
 
-def _pair_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sums over the rows where both columns of a pair are present, for one task's rows."""
-    n = sx = sxx = sxy = None
+def _pair_sums(batches: Iterator[pd.DataFrame], rules: tuple[str, ...]) -> Iterator[pd.DataFrame]:
+    """Sums over the rows that count for a pair of columns, for one task's rows and each rule."""
+    totals: dict[str, list[np.ndarray]] = {}
     for batch in batches:
-        values = batch.to_numpy(dtype="float64")
-        there = np.isfinite(values).astype("float64")
-        values = np.where(there > 0, values, 0.0)
-        parts = there.T @ there, values.T @ there, (values * values).T @ there, values.T @ values
-        n, sx, sxx, sxy = parts if n is None else (n + parts[0], sx + parts[1], sxx + parts[2], sxy + parts[3])
-    if n is not None:
+        present = batch.to_numpy(dtype="float64")
+        for rule in rules:
+            there = np.isfinite(present)
+            if rule == "listwise":
+                there = there & there.all(axis=1, keepdims=True)
+            values = np.where(there, present, 0.0)
+            there = there.astype("float64")
+            parts = [there.T @ there, values.T @ there, (values * values).T @ there, values.T @ values]
+            totals[rule] = [a + b for a, b in zip(totals[rule], parts)] if rule in totals else parts
+    for rule, (n, sx, sxx, sxy) in totals.items():
         i, j = np.triu_indices(n.shape[0])
         yield pd.DataFrame({
-            "i": i.astype("int32"), "j": j.astype("int32"), "n": n[i, j], "sx": sx[i, j], "sy": sx[j, i],
+            "rows": rule, "i": i.astype("int32"), "j": j.astype("int32"), "n": n[i, j], "sx": sx[i, j], "sy": sx[j, i],
             "sxx": sxx[i, j], "syy": sxx[j, i], "sxy": sxy[i, j],
         })
 

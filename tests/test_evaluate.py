@@ -1,9 +1,12 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
+from gaugeline.operators import clean, eda
 from gaugeline.operators import evaluate as ev
 from helpers import table
+from pyspark.sql import functions as F
 
 PAIR = "model string, key bigint, y_true double, y_pred double"
 
@@ -129,3 +132,24 @@ def test_error_histogram_keeps_all_errors(pairs):
 def test_slices_and_residuals(pairs):
     assert [r["key"] for r in ev.time_slice(pairs, 3).filter("model = 'k'").orderBy("key").collect()] == [0, 3, 6]
     assert ev.residual_sample(pairs, 50).count() == 100
+
+
+def test_both_correlations_from_one_pass(spark):
+    rng = np.random.default_rng(4)
+    data = rng.normal(size=(300, 3))
+    data[:, 1] += data[:, 0]
+    data[rng.random((300, 3)) < 0.1] = np.nan
+    frame = pd.DataFrame(data, columns=list("xyz"))
+    found = {(r["rows"], r["a"], r["b"]): r["r"] for r in eda.correlation_tables(spark.createDataFrame(frame), list("xyz")).collect()}
+    assert len(found) == 12
+    for rule, rows in (("pairwise", frame), ("listwise", frame.dropna())):
+        want = rows.corr()
+        for i, a in enumerate("xyz"):
+            for b in "xyz"[i:]:
+                assert abs(found[rule, a, b] - want.loc[a, b]) < 1e-12
+
+
+def test_complete_rows_of_many_computed_columns(spark):
+    wide = spark.range(40).select("id", *[F.when(F.col("id") % (n + 2) != 0, F.col("id") / 2.0).alias(f"c{n}") for n in range(40)])
+    kept = {r["id"] for r in clean.complete_rows(wide, [f"c{n}" for n in range(40)]).collect()}
+    assert kept == {i for i in range(1, 40) if all(i % (n + 2) for n in range(40))}
