@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 
 from ..session import stage
-from . import attention_lm, chat, decontam, mil_quality, mixing, ngram_rules, setsketch, sharding, tokenfiles, warczip
+from . import attention_lm, chat, decontam, fim, mil_quality, mixing, ngram_rules, setsketch, sharding, tokenfiles, warczip
 from .twins import TWINS
 
 
@@ -72,9 +72,15 @@ def op10_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attention_lm.lm_scores(table(spark, sf_dir, "documents"))
 
 
+def op13_skip_list_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.restored(fim.transformed(table(spark, sf_dir, "documents")))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2("restored", 256).alias("restored_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     made = {f.__name__: f for f in (op1_pareto_mix, op2_setsketch, op3_token_chat, op4_zip_warc, op5_rendezvous_shards,
-                                      op6_token_shards, op7_winnowing, op8_attention_mil, op9_ngram_rules, op10_attention_lm)}
+                                      op6_token_shards, op7_winnowing, op8_attention_mil, op9_ngram_rules, op10_attention_lm, op13_skip_list_fim)}
     return {**made, "pipeline": corpus_pipeline.run}
 
 

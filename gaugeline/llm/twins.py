@@ -78,4 +78,17 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coale
        sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
 FROM docs d LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)"""
 
-TWINS = {"op2_setsketch": OP2, "op3_token_chat": OP3, "op7_winnowing": OP7}
+OP13 = """
+WITH hashed AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+drawn AS (
+  SELECT doc_id, t, length(t) AS n, ('0x' || h[1:8])::BIGINT % (length(t) + 1) AS x, ('0x' || h[9:16])::BIGINT % (length(t) + 1) AS y,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR ('0x' || h[17:24])::BIGINT % 100 >= 90 THEN 'plain'
+              WHEN ('0x' || h[25:32])::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM hashed
+),
+cut AS (SELECT *, left(t, least(x, y)) AS p, substring(t, least(x, y) + 1, abs(x - y)) AS m, substring(t, greatest(x, y) + 1) AS s FROM drawn)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
+FROM cut"""
+
+TWINS = {"op2_setsketch": OP2, "op3_token_chat": OP3, "op7_winnowing": OP7, "op13_skip_list_fim": OP13}
