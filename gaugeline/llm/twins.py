@@ -78,6 +78,80 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coale
        sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
 FROM docs d LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)"""
 
+def _add(value: str, cost: str, letter: str) -> str:
+    """A state is its cost in nine digits, then the audit, so the least string is the cheapest and then ASCII-least."""
+    return f"(lpad((left({value}, 9)::BIGINT + {cost})::VARCHAR, 9, '0') || substr({value}, 10) || {letter})"
+
+
+_INITIAL = "left(role, 1)"
+_BLANKS = r"\x20\x09-\x0D"
+_EDIT = {role: (f"5 * t + (k <> '{role}')::BIGINT", f"CASE k WHEN '{role}' THEN 'K' ELSE 'R' END") for role in "ua"}
+OP12 = rf"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id AS conv, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations
+),
+drawn AS (
+  SELECT *, xor(4294967295, list_reduce(
+    list_concat([4294967295::UBIGINT], list_transform(string_split(key, ''), lambda c: ascii(c)::UBIGINT)),
+    lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[],
+      lambda bits, step: xor(bits >> 1, 3988292384::UBIGINT * (bits & 1))))) % 20 AS c FROM keyed
+),
+damaged AS (
+  SELECT conv, turn, CASE c WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE c WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE c WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM drawn
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv, role, text ORDER BY i) > 1 AS again FROM (
+    SELECT conv, turn, role, text, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged)
+),
+faults AS (
+  SELECT *, {_INITIAL} AS k, lag({_INITIAL}) OVER (PARTITION BY conv ORDER BY i) AS before,
+         CASE WHEN NOT regexp_matches(text, '[^{_BLANKS}]') THEN 'blank' WHEN again THEN 'duplicate'
+              WHEN NOT regexp_matches(text, '[.!?][{_BLANKS}]*\z') THEN 'truncated' ELSE 'none' END AS fault FROM placed
+),
+counted AS (
+  SELECT conv, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (i > 1 AND before || k NOT IN ('su', 'ua', 'au')) AS illegal FROM faults GROUP BY conv
+),
+steps AS (SELECT conv, i, k, fault IN ('blank', 'duplicate') AS gone, (fault = 'truncated')::BIGINT AS t FROM faults),
+paths AS (
+  SELECT conv, 0::BIGINT AS i, '000000000' AS v, '900000000' AS s, '000000005I' AS u, '000000010II' AS a FROM counted
+  UNION ALL
+  SELECT conv, i, v, s, u, least(a, {_add('u', '5', "'I'")}) FROM (
+    SELECT conv, i, v, s, a, least(u, {_add('v', '5', "'I'")}, {_add('s', '5', "'I'")}, {_add('a', '5', "'I'")}) AS u FROM (
+      SELECT p.conv, r.i, {_add('v', '2', "'D'")} AS v,
+             CASE WHEN NOT gone AND k = 's' THEN least({_add('s', '2', "'D'")}, {_add('v', '5 * t', "'K'")}) ELSE {_add('s', '2', "'D'")} END AS s,
+             CASE WHEN gone THEN {_add('u', '2', "'D'")}
+                  ELSE least({_add('u', '2', "'D'")}, {_add('v', *_EDIT['u'])}, {_add('s', *_EDIT['u'])}, {_add('a', *_EDIT['u'])}) END AS u,
+             CASE WHEN gone THEN {_add('a', '2', "'D'")} ELSE least({_add('a', '2', "'D'")}, {_add('u', *_EDIT['a'])}) END AS a
+      FROM paths p JOIN steps r ON r.conv IS NOT DISTINCT FROM p.conv AND r.i = p.i + 1))
+),
+solved AS (
+  SELECT c.*, least(v, a) AS best FROM paths p JOIN counted c ON c.conv IS NOT DISTINCT FROM p.conv AND c.n = p.i
+),
+edits AS (
+  SELECT conv, j, substr(best, 9 + j, 1) AS e FROM (SELECT conv, best, unnest(range(1, length(best) - 8)) AS j FROM solved)
+),
+numbered AS (SELECT conv, j, e, count(*) FILTER (e <> 'I') OVER (PARTITION BY conv ORDER BY j) AS i FROM edits),
+emitted AS (
+  SELECT n.conv, j, e, role, text, row_number() OVER (PARTITION BY n.conv ORDER BY j) AS place,
+         first(e = 'K' AND k = 's') OVER (PARTITION BY n.conv ORDER BY j) AS led
+  FROM numbered n LEFT JOIN faults f ON f.conv IS NOT DISTINCT FROM n.conv AND f.i = n.i AND e <> 'I' WHERE e <> 'D'
+),
+written AS (
+  SELECT conv, string_agg(CASE WHEN e = 'K' THEN role WHEN (place - led::INT) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' ||
+                          CASE WHEN e = 'I' THEN '' ELSE text END, chr(10) ORDER BY j) AS body FROM emitted GROUP BY conv
+)
+SELECT d.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(left(best, 9)::BIGINT, 0) AS cost,
+       coalesce(substr(best, 10), '') AS audit, sha256(coalesce(body, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) d LEFT JOIN solved s ON s.conv IS NOT DISTINCT FROM d.conv_id
+LEFT JOIN written w ON w.conv IS NOT DISTINCT FROM d.conv_id"""
+
 OP13 = """
 WITH hashed AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
 drawn AS (
@@ -91,4 +165,4 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_c
                         ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
 FROM cut"""
 
-TWINS = {"op2_setsketch": OP2, "op3_token_chat": OP3, "op7_winnowing": OP7, "op13_skip_list_fim": OP13}
+TWINS = {"op2_setsketch": OP2, "op3_token_chat": OP3, "op7_winnowing": OP7, "op12_repair_turns": OP12, "op13_skip_list_fim": OP13}
