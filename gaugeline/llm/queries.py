@@ -11,7 +11,7 @@ import corpus_pipeline
 
 from ..session import stage
 from . import (
-    attention_lm, chat, decontam, fim, mil_quality, mixing, ngram_rules, setsketch, sharding, tokenfiles, turnrepair, warczip,
+    attention_lm, chat, decontam, fim, mil_quality, mixing, ngram_rules, pqlinks, setsketch, sharding, tokenfiles, turnrepair, warczip,
 )
 from .twins import TWINS
 
@@ -74,6 +74,10 @@ def op10_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attention_lm.lm_scores(table(spark, sf_dir, "documents"))
 
 
+def op11_pq_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pqlinks.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op12_repair_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, damaged as the contract says, repaired; those left without rows have zeros."""
     turns = table(spark, sf_dir, "conversations")
@@ -88,7 +92,7 @@ def op13_skip_list_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     made = {f.__name__: f for f in (op1_pareto_mix, op2_setsketch, op3_token_chat, op4_zip_warc, op5_rendezvous_shards,
-                                      op6_token_shards, op7_winnowing, op8_attention_mil, op9_ngram_rules, op10_attention_lm, op12_repair_turns, op13_skip_list_fim)}
+                                      op6_token_shards, op7_winnowing, op8_attention_mil, op9_ngram_rules, op10_attention_lm, op11_pq_links, op12_repair_turns, op13_skip_list_fim)}
     return {**made, "pipeline": corpus_pipeline.run}
 
 

@@ -78,6 +78,27 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coale
        sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
 FROM docs d LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)"""
 
+OP11 = """
+WITH RECURSIVE usable AS (
+  SELECT row_number() OVER () AS node, vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+edges AS (
+  SELECT a.node AS a, b.node AS b FROM usable a JOIN usable b ON a.node <> b.node AND len(a.v) = len(b.v)
+  WHERE CASE WHEN len(a.v) = len(b.v) THEN list_cosine_similarity(a.v, b.v) >= 0.9 END
+),
+reach AS (SELECT node AS a, node AS b FROM usable UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a),
+groups AS (SELECT r.a AS node, min(u.vec_id) AS component_id FROM reach r JOIN usable u ON u.node = r.b GROUP BY 1),
+counts AS (SELECT a AS node, count(*) AS n FROM edges GROUP BY 1)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM usable LEFT JOIN counts USING (node) JOIN groups USING (node)
+UNION ALL
+SELECT vec_id, 0, vec_id, true FROM embeddings
+WHERE NOT (vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+           AND len(list_filter(embedding, lambda x: x <> 0)) > 0)"""
+
+
 def _add(value: str, cost: str, letter: str) -> str:
     """A state is its cost in nine digits, then the audit, so the least string is the cheapest and then ASCII-least."""
     return f"(lpad((left({value}, 9)::BIGINT + {cost})::VARCHAR, 9, '0') || substr({value}, 10) || {letter})"
@@ -165,4 +186,4 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_c
                         ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
 FROM cut"""
 
-TWINS = {"op2_setsketch": OP2, "op3_token_chat": OP3, "op7_winnowing": OP7, "op12_repair_turns": OP12, "op13_skip_list_fim": OP13}
+TWINS = {"op2_setsketch": OP2, "op3_token_chat": OP3, "op7_winnowing": OP7, "op11_pq_links": OP11, "op12_repair_turns": OP12, "op13_skip_list_fim": OP13}
