@@ -312,7 +312,7 @@ def fit(prepared: DataFrame, vocab: Vocabulary, n_ids: int, rate: float = 6e-3)
             if trainer.seen:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([trainer.seen], pa.int64()), pa.array([trainer.flat.tolist()], schema.field(1).type)], schema=schema)
-        made = chosen.repartition(parts, "row").select("ids").mapInArrow(learn, "weight long, values array<float>")
+        made = chosen.repartition(parts, "row").sortWithinPartitions("row").select("ids").mapInArrow(learn, "weight long, values array<float>")
         each = made.select("weight", F.posexplode("values").alias("at", "value"))
         mean = each.groupBy("at").agg((F.sum(F.col("value") * F.col("weight")) / F.sum("weight")).alias("value")).collect()
         for at, value in mean:

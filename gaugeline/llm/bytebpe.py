@@ -28,13 +28,18 @@ def default_path() -> str:
 
 
 class PieceEncoder:
-    """Encodes texts to little-endian 16-bit ids, as bytes."""
+    """Encodes texts to little-endian 16-bit ids, as bytes.
 
-    def __init__(self, path: str):
+    With `special`, the strings of added tokens that occur in a text become their reserved ids, as the plain
+    tokenizer does; without it they are encoded like any other text.
+    """
+
+    def __init__(self, path: str, special: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
         from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if special else []
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids must fit 16 bits")
         self.single = Tokenizer.from_file(path)  # for words that are one pre-token
@@ -83,6 +88,10 @@ class PieceEncoder:
         known.update((m, known[part[1]] + self.marks[part[2]]) for m, part in parts.items() if part)
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if any(token in text for token in self.added for text in texts):
+            whole = [any(token in text for token in self.added) for text in texts]
+            plain = iter(self.encode([t for t, w in zip(texts, whole) if not w]))
+            return [self._ids([t])[0] if w else next(plain) for t, w in zip(texts, whole)]
         cut = [self._cut(t) for t in texts]
         self._learn(self.first, {line[0] for lines in cut for line in lines}, "")
         wanted: set[str] = set()
@@ -98,6 +107,6 @@ class PieceEncoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> PieceEncoder:
+def encoder(path: str, special: bool = False) -> PieceEncoder:
     """One per Python worker."""
-    return PieceEncoder(path)
+    return PieceEncoder(path, special)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,3 +60,33 @@ def numbered(df: DataFrame, order: list[str], name: str, label: str) -> DataFram
         .withColumn(name, F.col("_base") + F.col("_place").bitwiseAND(F.lit(mask)))
         .drop("_part", "_base", "_place")
     )
+
+
+def new_name(label: str) -> str:
+    """A column name that no input has."""
+    return f"_{label}_{uuid.uuid4().hex}"
+
+
+def flagged(rows: DataFrame, key: Column, wanted: DataFrame, name: str, most_keys: int = 1_000_000, most_maps: int = 16_384) -> DataFrame:
+    """`rows` with a boolean column `name`: whether `key`, a long, is in the one column of `wanted`; exact, and `rows` stay where they are.
+
+    Up to `most_keys` keys are broadcast as they are. More keys become bitmaps of 32,768 neighbouring keys,
+    broadcast up to `most_maps` (64 MB). Only keys that are both many and far apart are joined by a shuffle of `rows`.
+    """
+    own, found = new_name("key"), new_name("found")
+    keys = stage(wanted.select(named(wanted.columns[0]).cast("long").alias(own)).where(named(own).isNotNull()).distinct(), "keys")
+    keyed = rows.withColumn(found, key)
+    if keys.count() > most_keys:
+        bucket, bits = new_name("bucket"), new_name("bits")
+        maps = stage(keys.groupBy(F.bitmap_bucket_number(own).alias(bucket)).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position(own)).alias(bits)), "bitmaps")
+        if maps.count() <= most_maps:
+            place = F.bitmap_bit_position(found)
+            byte = F.conv(F.hex(F.substr(named(bits), F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+            hit = F.floor(byte / F.pow(F.lit(2), place % 8)).cast("int") % 2 == 1
+            joined = keyed.join(F.broadcast(maps), F.bitmap_bucket_number(found) == named(bucket), "left")
+            return joined.withColumn(name, F.coalesce(hit, F.lit(False))).drop(found, bucket, bits)
+        joined = keyed.join(keys, named(found) == named(own), "left")
+    else:
+        joined = keyed.join(F.broadcast(keys), named(found) == named(own), "left")
+    return joined.withColumn(name, named(own).isNotNull()).drop(found, own)

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import named, text_or_empty
+from .common import flagged, named, new_name, text_or_empty
 
 BREAKS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -150,7 +150,10 @@ def contamination(
 
 def clean_rows(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **settings) -> DataFrame:
     """Rows of `docs` that are not contaminated, columns as in `docs`."""
-    bad = contamination(docs, items, key, text, **settings).where("contaminated") \
-        .select(F.col(key).alias("_bad_key"), F.col("_text").alias("_bad_text")).distinct()
-    same = named(key).eqNullSafe(F.col("_bad_key")) & (F.xxhash64(text_or_empty(text)) == F.col("_bad_text"))
-    return docs.join(bad, same, "left_anti")
+    own, tie, flag = new_name("key"), new_name("text"), new_name("flag")
+    bad = stage(contamination(docs, items, key, text, **settings).where("contaminated")
+                .select(F.col(key).alias(own), F.col("_text").alias(tie)).distinct(), "contaminated")
+    body = F.xxhash64(text_or_empty(text))
+    some = flagged(docs, F.xxhash64(named(key), body), bad.select(F.xxhash64(named(own), named(tie)).alias("hash")), flag)
+    doubted = some.where(named(flag)).join(bad, named(key).eqNullSafe(named(own)) & (body == named(tie)), "left_anti")
+    return some.where(~named(flag)).unionByName(doubted).select(*map(named, docs.columns))

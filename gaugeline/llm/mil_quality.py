@@ -6,9 +6,10 @@ passages, a softmax over a document's passages weighs them, and a logistic unit
 sum. Only document labels are used; gradients reach passages through the weights.
 
 Fitting takes a bounded sample: at most `fit_rows` labelled documents by a hash of their key, of which at
-most half bear the commoner label, and the intercept is set back to the labels' shares afterwards. Scoring
-covers every whole text in batches of bounded size; the model, a few kilobytes, goes with the task.
-Only texts enter a score.
+most half bear the commoner label, and the intercept is set back to the labels' shares afterwards. Of these documents
+all passages are learned from: tasks write them to the shared folder, and the driver goes over those files batch by
+batch, holding the passages of one batch of documents at a time. Scoring covers every whole text in batches of
+bounded size; the model, a few kilobytes, goes with the task. Only texts enter a score.
 
 Defined cases: a null or blank text is one empty passage and gets a score like any other; labels that are
 null or lack a text are not learned from; with labels of one kind only every score is that kind's share;
@@ -18,13 +19,18 @@ alone and not returned.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import new_path
 from .common import key_text, named, text_or_empty
+from .files import opened
 from .rows import by_batch, kept_rows
 
 BUCKETS = 512
@@ -118,13 +124,69 @@ def forward(model: Model, rows: np.ndarray, starts: np.ndarray) -> tuple:
     return _sigmoid(z @ model.out + model.intercept), x, h, v, g, a, z, counts
 
 
-def fit(bags: list[np.ndarray], labels: np.ndarray, hidden: int = 24, gates: int = 12, epochs: int = 30,
+class Bags:
+    """Passages of the fitted documents, in files of the shared folder; read again for each epoch."""
+
+    def __init__(self, folder: str):
+        self.system, root = opened(folder)
+        self.files = sorted(f.path for f in self.system.get_file_info(pafs.FileSelector(root)) if f.path.endswith(".parquet"))
+
+    def batches(self, order: list[int], documents: int = 64) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+        """`(passages of each document, labels)` of up to `documents` documents, file by file."""
+        for n in order:
+            with self.system.open_input_file(self.files[n]) as stream:
+                for batch in pq.ParquetFile(stream).iter_batches(documents, columns=["label", "bag"], use_threads=False):
+                    if batch.num_rows:
+                        bags = [np.frombuffer(b.as_buffer(), "<f2").astype(np.float32).reshape(-1, BUCKETS + RATIOS) for b in batch.column("bag")]
+                        yield bags, batch.column("label").to_numpy().astype(float)
+
+    def moments(self) -> tuple[np.ndarray, np.ndarray, float, int]:
+        """Mean and spread of the passages, mean label, number of documents."""
+        count, total, squares, labels, documents = 0, 0.0, 0.0, 0.0, 0
+        for bags, target in self.batches(list(range(len(self.files)))):
+            for bag in bags:
+                wide = bag.astype(np.float64)
+                count, total, squares = count + len(bag), total + wide.sum(0), squares + (wide * wide).sum(0)
+            labels, documents = labels + target.sum(), documents + len(target)
+        mean = total / max(count, 1)
+        spread = np.sqrt(np.maximum(squares / max(count, 1) - mean * mean, 0))
+        return np.float32(mean), np.float32(spread + 1e-3), labels / max(documents, 1), documents
+
+
+PASSAGES = 8192  # passages of one gradient, more only if one document has more
+
+
+def _gradient(model: Model, bags: list[np.ndarray], labels: np.ndarray, documents: int) -> dict[str, np.ndarray]:
+    """Gradient of the log-loss of some whole documents, as a part of `documents`."""
+    starts = np.cumsum([0] + [len(b) for b in bags[:-1]])
+    score, x, h, v, g, a, z, counts = forward(model, np.concatenate(bags), starts)
+    d = (score - labels) / documents
+    dz = np.repeat(d[:, None] * model.out, counts, axis=0)
+    da = (dz * h).sum(1)
+    de = a * (da - np.repeat(np.add.reduceat(a * da, starts), counts))
+    dv, dg = de[:, None] * model.attend * g * (1 - v * v), de[:, None] * model.attend * v * g * (1 - g)
+    dh = (a[:, None] * dz + dv @ model.view.T + dg @ model.gate.T) * (1 - h * h)
+    return {"layer": x.T @ dh, "layer_bias": dh.sum(0), "view": h.T @ dv, "gate": h.T @ dg,
+            "attend": (de[:, None] * v * g).sum(0), "out": z.T @ d, "intercept": np.array([d.sum()])}
+
+
+def _groups(bags: list[np.ndarray]) -> Iterator[slice]:
+    """Runs of documents of at most PASSAGES passages together."""
+    first, held = 0, 0
+    for n, bag in enumerate(bags):
+        if held and held + len(bag) > PASSAGES:
+            yield slice(first, n)
+            first, held = n, 0
+        held += len(bag)
+    yield slice(first, len(bags))
+
+
+def fit(bags: Bags, hidden: int = 24, gates: int = 12, epochs: int = 30,
         rate: float = 4e-3, decay: float = 1e-3, seed: int = 7) -> Model:
-    """Adam on the log-loss, batches of 64 documents; the same sample gives the same model."""
+    """Adam on the log-loss, batches of up to 64 documents; the same sample gives the same model."""
     rng = np.random.default_rng(seed)
-    rows = np.concatenate(bags)
-    mean, scale = rows.mean(0), rows.std(0) + 1e-3
-    width = rows.shape[1]
+    mean, scale, _, _ = bags.moments()
+    width = len(mean)
     p = {"layer": rng.normal(0, width**-0.5, (width, hidden)), "layer_bias": np.zeros(hidden),
          "view": rng.normal(0, hidden**-0.5, (hidden, gates)), "gate": rng.normal(0, hidden**-0.5, (hidden, gates)),
          "attend": rng.normal(0, gates**-0.5, gates), "out": rng.normal(0, hidden**-0.5, hidden), "intercept": np.zeros(1)}
@@ -132,31 +194,20 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, hidden: int = 24, gates: int
     second = {k: np.zeros_like(v) for k, v in p.items()}
     step = 0
     for epoch in range(epochs):
-        order = rng.permutation(len(bags))
-        for at in range(0, len(order), 64):
-            some = order[at:at + 64]
-            x = np.concatenate([bags[i] for i in some])
-            starts = np.cumsum([0] + [len(bags[i]) for i in some[:-1]])
+        for some, labels in bags.batches(rng.permutation(len(bags.files)).tolist()):
             model = Model(mean, scale, p["layer"], p["layer_bias"], p["view"], p["gate"], p["attend"], p["out"], p["intercept"][0])
-            score, x, h, v, g, a, z, counts = forward(model, x, starts)
-            d = (score - labels[some]) / len(some)
-            dz = np.repeat(d[:, None] * p["out"], counts, axis=0)
-            da = (dz * h).sum(1)
-            de = a * (da - np.repeat(np.add.reduceat(a * da, starts), counts))
-            dv, dg = de[:, None] * p["attend"] * g * (1 - v * v), de[:, None] * p["attend"] * v * g * (1 - g)
-            dh = (a[:, None] * dz + dv @ p["view"].T + dg @ p["gate"].T) * (1 - h * h)
-            grads = {"layer": x.T @ dh, "layer_bias": dh.sum(0), "view": h.T @ dv, "gate": h.T @ dg,
-                     "attend": (de[:, None] * v * g).sum(0), "out": z.T @ d, "intercept": np.array([d.sum()])}
+            parts = [_gradient(model, some[s], labels[s], len(some)) for s in _groups(some)]
             step += 1
             pace = rate * (1 - epoch / epochs)
-            for k, grad in grads.items():
+            for k in p:
+                grad = sum(part[k] for part in parts)
                 if p[k].ndim == 2:
                     grad = grad + decay * p[k]
                 first[k] += 0.1 * (grad - first[k])
                 second[k] += 0.001 * (grad * grad - second[k])
                 p[k] -= pace * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
     small = {k: v.astype(np.float32) for k, v in p.items() if k != "intercept"}
-    return Model(mean.astype(np.float32), scale.astype(np.float32), intercept=float(p["intercept"][0]), **small)
+    return Model(mean, scale, intercept=float(p["intercept"][0]), **small)
 
 
 def _constant(share: float) -> Model:
@@ -168,11 +219,8 @@ def _constant(share: float) -> Model:
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id", text: str = "text",
-          label: str = "quality", fit_rows: int = 3000, passage_words: int = 64, max_passages: int = 40) -> Model:
-    """Fit on at most `fit_rows` labelled rows for which `learn`, a condition on `labels`, holds.
-
-    A fitted document gives at most `max_passages` of its passages, evenly spaced; scoring uses all.
-    """
+          label: str = "quality", fit_rows: int = 3000, passage_words: int = 64, files: int = 8) -> Model:
+    """Fit on at most `fit_rows` labelled rows for which `learn`, a condition on `labels`, holds; whole texts."""
     usable = labels.where(learn & named(label).isin(0, 1) & named(key).isNotNull()).select(
         named(key).alias("_key"), named(label).cast("int").alias("_label"))
     shares = dict(map(tuple, usable.groupBy("_label").count().collect()))
@@ -189,19 +237,18 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id"
     sample = texts.join(F.broadcast(chosen), F.col("_own") == F.col("_key")).select("_key", "_text", "_label")
 
     def make(batch: dict[str, list]) -> dict[str, list]:
-        bags = []
-        for body in batch["_text"]:
-            rows = passages(body, passage_words)
-            bags.append(rows[np.unique(np.linspace(0, len(rows) - 1, min(len(rows), max_passages)).astype(int))])
-        return {"key": batch["_key"], "label": batch["_label"], "count": [len(b) for b in bags],
-                "bag": [b.astype("<f2").tobytes() for b in bags]}
-    found = sorted(map(tuple, by_batch(sample, make, "key long, label int, count int, bag binary").collect()))
-    if len({row[1] for row in found}) < 2:
+        return {"key": batch["_key"], "label": batch["_label"],
+                "bag": [passages(body, passage_words).astype("<f2").tobytes() for body in batch["_text"]]}
+    made = by_batch(sample, make, "key long, label int, bag binary")
+    folder = new_path(docs.sparkSession, "bags")
+    # Mixed by a hash of the key within each file, which is the order of learning.
+    made.repartition(files, "key").sortWithinPartitions(F.xxhash64("key"), "key", "label", F.xxhash64("bag")).write.parquet(folder)
+    bags = Bags(folder)
+    _, _, fitted, _ = bags.moments()
+    if not 0 < fitted < 1:
         return _constant(shares.get(1, 0) / sum(shares.values()))
-    bags = [np.frombuffer(row[3], "<f2").astype(np.float32).reshape(row[2], -1) for row in found]
-    target = np.array([row[1] for row in found], float)
-    model = fit(bags, target)
-    fitted, true = target.mean(), shares[1] / sum(shares.values())
+    model = fit(bags)
+    true = shares[1] / sum(shares.values())
     shift = np.log(true / (1 - true)) - np.log(fitted / (1 - fitted))
     return model._replace(intercept=float(model.intercept + shift))
 

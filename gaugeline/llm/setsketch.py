@@ -22,9 +22,10 @@ either matters only where no other link joins the two. At 0.80, the limit of `on
 pair in 12,000, and the likelihood step, there 0.1 below, one in 80,000.
 
 Defined cases: null, empty or blank texts have an empty set and link with nothing; fewer words than a shingle
-make one shingle of them all; rows that repeat an id belong to one document if the texts are
-equal, and get the id's smallest component otherwise; an empty table gives an empty result;
-further columns are left alone and not returned.
+make one shingle of them all; rows that repeat an id are judged by their own texts (equal rows alike, so
+`one_per_group` keeps or drops them together), and a component bears the smallest id of its texts; a null id is
+never linked and always kept; ids are cast to long, so text ids must hold numbers; an empty table gives an
+empty result; further columns are left alone and not returned.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import named
+from .common import flagged, named, new_name, text_or_empty
 from .rows import by_batch
 
 MIX = np.uint64(0x9E3779B97F4A7C15)  # odd multipliers of the hash steps
@@ -84,15 +85,16 @@ def registers_of(hashes: np.ndarray, m: int) -> np.ndarray:
         return np.zeros(m, np.uint16)
     least, count = np.full(m, np.inf), len(hashes)
     state, reached, drawn = hashes[:, None], np.zeros((count, 1)), 0
+    points = -(-int(m * (np.log(m) + 1)) // count)  # about as many as reach every register
     while len(state):
-        points = max(1, 2 * m // count)
         turn = mixed(state + MIX * np.arange(drawn + 1, drawn + points + 1, dtype=np.uint64))
-        gaps = -np.log(((turn >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53) / m
-        at = reached + np.cumsum(gaps, axis=1)
-        np.minimum.at(least, (mixed(turn ^ STEP) % np.uint64(m)).astype(np.int64).ravel(), at.ravel())
+        gaps = np.log(((turn >> np.uint64(24)).astype(np.float64) + 0.5) * 2.0**-40)  # 40 bits for the gap, 24 for the register
+        at = reached - np.cumsum(gaps, axis=1) / m
+        place = ((turn & np.uint64(0xFFFFFF)) * np.uint64(m)) >> np.uint64(24)
+        np.minimum.at(least, place.astype(np.int64).ravel(), at.ravel())
         drawn += points
         alive = at[:, -1] < least.max()
-        state, reached = state[alive], at[alive, -1:]
+        state, reached, points = state[alive], at[alive, -1:], 2
     return np.clip(np.floor(1 - np.log(least) / np.log(BASE)) + TOP // 2, 0, TOP).astype(np.uint16)
 
 
@@ -144,9 +146,9 @@ def linked(x: bytes, y: bytes, percent: int) -> bool:
 
 
 def sketches(docs: DataFrame, key: str, text: str, words: int, m: int, rows_per_band: int) -> DataFrame:
-    """Per row: id, set size, digest of the set, registers and band keys."""
+    """Per row: id, hash of the text, set size, digest of the set, registers and band keys."""
     def make(batch: dict[str, list]) -> dict[str, list]:
-        out: dict[str, list] = {n: [] for n in ("id", "n_shingles", "digest", "registers", "bands")}
+        out: dict[str, list] = {n: [] for n in ("id", "n_shingles", "digest", "registers", "bands")} | {"tie": batch["tie"]}
         for name, body in zip(batch["id"], batch["text"]):
             hashes = shingles(body, words)
             out["id"].append(name)
@@ -162,8 +164,8 @@ def sketches(docs: DataFrame, key: str, text: str, words: int, m: int, rows_per_
                 xxhash.xxh64_intdigest(values[at:at + rows_per_band].tobytes(), at) - (1 << 63)
                 for at in range(0, m, rows_per_band)])
         return out
-    rows = docs.select(named(key).cast("long").alias("id"), named(text).cast("string").alias("text"))
-    return by_batch(rows, make, "id long, n_shingles long, digest binary, registers binary, bands array<long>")
+    rows = docs.select(named(key).cast("long").alias("id"), named(text).cast("string").alias("text"), F.xxhash64(text_or_empty(text)).alias("tie"))
+    return by_batch(rows, make, "id long, tie long, n_shingles long, digest binary, registers binary, bands array<long>")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -210,8 +212,8 @@ class _Finder:
 
         def make(batch: dict[str, list]) -> dict[str, list]:
             return {"id": batch["id"], "set": [shingles(t, words).tobytes() for t in batch["text"]]}
-        named_texts = self.texts.join(wanted, "id", "left_semi").dropDuplicates(["id", "text"])
-        return stage(by_batch(named_texts, make, "id long, set binary"), "sets")
+        held = flagged(self.texts, F.col("id"), wanted, "wanted").where("wanted").dropDuplicates(["id", "text"])
+        return stage(by_batch(held.select("id", "text"), make, "id long, set binary"), "sets")
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """Pairs whose full sets are similar enough."""
@@ -316,11 +318,11 @@ def _block_links(members: DataFrame, finder: _Finder, side: int) -> DataFrame:
     return stage(rows.groupBy(*meeting).applyInPandas(confirm, "a long, b long"), "links")
 
 
-def near_duplicates(
+def judged(
     docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 85, bands: int = 40,
     rows_per_band: int = 7, margin: float = 0.09, block: int = 256,
 ) -> DataFrame:
-    """Per row: key, `n_shingles`, `component_id`, `kept`."""
+    """Per row: `id, tie` (hash of the text)`, n_shingles, component_id, kept`."""
     made = stage(sketches(docs, key, text, words, bands * rows_per_band, rows_per_band), "sketches")
     linked = made.where("n_shingles > 0 AND id IS NOT NULL")
     classes = stage(linked.groupBy("digest", "n_shingles").agg(
@@ -338,13 +340,26 @@ def near_duplicates(
         labels = finder.add(_block_links(rest, finder, block))
     groups = classes.join(labels, classes["id"] == labels["node"], "left").select(
         "digest", "n_shingles", F.coalesce("label", "id").alias("component_id"))
-    rows = made.select("id", "n_shingles", "digest")
+    rows = made.select("id", "tie", "n_shingles", "digest")
     found = rows.join(groups, ["digest", "n_shingles"], "left").withColumn("component_id", F.coalesce("component_id", "id"))
-    return found.select(F.col("id").alias(key), "n_shingles", "component_id",
-                        F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    return found.select("id", "tie", "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **settings) -> DataFrame:
+    """Per row: key, `n_shingles`, `component_id`, `kept`."""
+    return judged(docs, key, text, **settings).drop("tie").withColumnRenamed("id", key)
 
 
-def one_per_group(docs: DataFrame, key: str = "doc_id", percent: int = 80, margin: float = 0.1, **settings) -> DataFrame:
-    """Rows of `docs` that stand for their group at a similarity of `percent` or more; columns as in `docs`."""
-    gone = near_duplicates(docs, key, percent=percent, margin=margin, **settings).where("NOT kept").select(F.col(key).alias("_gone")).distinct()
-    return docs.join(gone, named(key).cast("long") == F.col("_gone"), "left_anti")
+def one_per_group(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80, margin: float = 0.1, **settings,
+) -> DataFrame:
+    """Rows of `docs` that stand for their group at a similarity of `percent` or more; columns as in `docs`.
+
+    A row goes by its id and its text, so that another text under the same id is not touched.
+    """
+    gone = stage(judged(docs, key, text, percent=percent, margin=margin, **settings).where("NOT kept").select("id", "tie").distinct(), "gone")
+    flag, own, tie = new_name("flag"), new_name("id"), new_name("tie")
+    some = flagged(docs, named(key).cast("long"), gone.select("id"), flag)
+    same = (named(key).cast("long") == named(own)) & (F.xxhash64(text_or_empty(text)) == named(tie))
+    doubted = some.where(named(flag)).join(gone.toDF(own, tie), same, "left_anti")
+    return some.where(~named(flag)).unionByName(doubted).select(*map(named, docs.columns))

@@ -152,9 +152,12 @@ class Shard:
 
 
 def write_shards(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer: str | None = None, end_id: int = 2,
+    docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer: str | None = None, end_id: int = 2, special: bool = True,
 ) -> DataFrame:
-    """The staged manifest: `part, path, docs, ids, base` (ids in the shards before it)."""
+    """The staged manifest: `part, path, docs, ids, base` (ids in the shards before it), `first, last` key.
+
+    `special`: strings of added tokens in a text become their reserved ids, as the plain tokenizer has it.
+    """
     spark = docs.sparkSession
     importable(spark)
     path, folder = tokenizer or default_path(), new_path(spark, "tokens")
@@ -163,7 +166,8 @@ def write_shards(
     rows = rows.withColumn("tie", F.xxhash64("text"))
     dealt = rows.repartitionByRange("key", "tie").sortWithinPartitions("key", "tie").select(
         "key", "text", F.spark_partition_id().alias("part"))
-    schema = pa.schema([("part", pa.int32()), ("path", pa.string()), ("docs", pa.int64()), ("ids", pa.int64())])
+    schema = pa.schema([("part", pa.int32()), ("path", pa.string()), ("docs", pa.int64()), ("ids", pa.int64()),
+                        ("first", pa.int64()), ("last", pa.int64())])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, lengths, total, part = [], [], 0, None
@@ -172,20 +176,34 @@ def write_shards(
                 for at in range(0, batch.num_rows, 500):
                     some = batch.slice(at, 500).to_pydict()
                     part = some["part"][0]
-                    for name, ids in zip(some["key"], encoder(path).encode(some["text"])):
+                    for name, ids in zip(some["key"], encoder(path, special).encode(some["text"])):
                         stream.write(ids + end)
                         keys.append(name)
                         lengths.append(len(ids) // 2 + 1)
                         total += lengths[-1]
             _write_index(stream, keys, lengths, total)
         if keys:
-            yield pa.RecordBatch.from_pylist([{"part": part, "path": uri, "docs": len(keys), "ids": total}], schema)
-    manifest = stage(dealt.mapInArrow(write, "part int, path string, docs long, ids long"), "manifest")
+            yield pa.RecordBatch.from_pylist([{"part": part, "path": uri, "docs": len(keys), "ids": total,
+                                              "first": keys[0], "last": keys[-1]}], schema)
+    manifest = stage(dealt.mapInArrow(write, "part int, path string, docs long, ids long, first long, last long"), "manifest")
     rows, base = [], 0
-    for shard in sorted(map(tuple, manifest.collect())):  # one row per shard
-        rows.append((*shard, base))
-        base += shard[3]
-    return spark.createDataFrame(rows, "part int, path string, docs long, ids long, base long")
+    for part, uri, docs_, ids, *ends in sorted(manifest.collect()):  # one row per shard
+        rows.append((part, uri, docs_, ids, base, *ends))
+        base += ids
+    return spark.createDataFrame(rows, "part int, path string, docs long, ids long, base long, first long, last long")
+
+
+def find_documents(manifest: DataFrame, keys: list[int | None]) -> dict[int | None, list[np.ndarray]]:
+    """Ids of all documents of each key: only shards whose key range holds a key are opened, and only its ids are read."""
+    found: dict[int | None, list[np.ndarray]] = {k: [] for k in keys}
+    for row in manifest.orderBy("part").collect():  # one row per shard
+        held = [k for k in found if (row["first"] is None if k is None else
+                                     row["last"] is not None and k <= row["last"] and (row["first"] is None or k >= row["first"]))]
+        if held:
+            shard = Shard(row["path"])
+            for key, numbers in zip(held, shard.find(held)):
+                found[key] += [shard.ids_of(n) for n in numbers]
+    return found
 
 
 def read_documents(manifest: DataFrame) -> DataFrame:
