@@ -88,12 +88,13 @@ def running(
 def positions(df: DataFrame, order: Sequence[str], name: str) -> tuple[DataFrame, int]:
     """(`df` with its place in ascending `order`, number of rows), no matter how many rows share a day.
 
-    Rows are dealt by range and sorted in their tasks; a row's place is its place in the task plus
-    the rows of the tasks before. One count per task is gathered.
+    The rows are written once, with a number each. Only the order columns and that number are dealt by range
+    and sorted; a row's place is its place in its task plus the rows of the tasks before, one count per task. The
+    places come back to the rows by an equality join on the number. Both ends agree because the numbers are stored.
     """
-    held = stage(df, "unplaced")
-    sorted_rows = held.repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = stage(sorted_rows.withColumn("_place", F.monotonically_increasing_id()), "placed")
+    held = stage(df.withColumn("_row", F.monotonically_increasing_id()), "unplaced")
+    slim = held.select("_row", *order).repartitionByRange(*order).sortWithinPartitions(*order, "_row")
+    placed = stage(slim.select("_row", F.monotonically_increasing_id().alias("_place")), "placed")
     task = F.shiftright("_place", TASK_BITS)
     starts, total = [], 0
     for number, count in sorted(map(tuple, placed.groupBy(task.alias("task")).count().collect())):
@@ -101,8 +102,9 @@ def positions(df: DataFrame, order: Sequence[str], name: str) -> tuple[DataFrame
         total += count
     bases = df.sparkSession.createDataFrame(starts, "_task long, _before long")
     within = F.col("_place").bitwiseAND(F.lit((1 << TASK_BITS) - 1))
-    return placed.withColumn("_task", task).join(F.broadcast(bases), "_task").select(
-        *df.columns, (F.col("_before") + within).alias(name)), total
+    places = placed.withColumn("_task", task).join(F.broadcast(bases), "_task").select(
+        "_row", (F.col("_before") + within).alias(name))
+    return held.join(places, "_row").select(*df.columns, name), total
 
 
 def with_halo(

@@ -15,11 +15,10 @@ def frame(spark, seed, n):
 
 
 @pytest.mark.parametrize("n", [1, 2, 7, 500, 4000])
-@pytest.mark.parametrize("ranges", [2, 64])
-def test_equals_linear_percentiles(spark, n, ranges):
+def test_equals_linear_percentiles(spark, n):
     rows, df = frame(spark, n, n)
     probs = [0.0, 0.01, 0.25, 0.5, 0.99, 1.0]
-    out = {(r["feature"], r["idx"]): r["value"] for r in exact_percentiles(df, ["a", "b", "c"], probs, ranges=ranges).collect()}
+    out = {(r["feature"], r["idx"]): r["value"] for r in exact_percentiles(df, ["a", "b", "c"], probs).collect()}
     for k, name in enumerate("abc", 1):
         values = [r[k] for r in rows if r[k] is not None]
         for i, p in enumerate(probs):
@@ -29,6 +28,23 @@ def test_equals_linear_percentiles(spark, n, ranges):
                 assert (name, i) not in out
 
 
+def test_brackets_hold_on_large_sorted_and_tied_columns(spark):
+    """Far more rows than the sketch keeps, in order, with ties and infinities, in many tasks."""
+    n = 300_000
+    df = spark.range(0, n, 1, 16).select(
+        (F.col("id") * 1.0).alias("up"), F.when(F.col("id") % 3 == 0, 7.0).otherwise(F.pmod(F.xxhash64("id"), F.lit(1000)) * 1.0).alias("tied"),
+        F.when(F.col("id") < 5, F.lit(float("-inf"))).when(F.col("id") > n - 3, F.lit(float("inf"))).when(
+            F.col("id") % 2 == 0, F.lit(float("nan"))).otherwise(F.exp(F.pmod(F.xxhash64("id"), F.lit(9973)) / 700.0)).alias("wide"))
+    pdf = df.toPandas()
+    probs = [0.0, 0.0001, 0.25, 0.5, 0.9, 0.9999, 1.0]
+    for r in exact_percentiles(df, ["up", "tied", "wide"], probs).collect():
+        values = np.sort(pdf[r["feature"]].dropna().to_numpy())
+        at = r["p"] * (len(values) - 1)
+        low, high = values[int(np.floor(at))], values[int(np.ceil(at))]
+        want = low if low == high else low + (high - low) * (at - np.floor(at))
+        assert r["n_values"] == len(values) and (r["value"] == want or abs(r["value"] - want) < 1e-9 * abs(want)), (r["feature"], r["p"])
+
+
 def test_groups_and_points_that_depend_on_the_count(spark):
     rows, df = frame(spark, 3, 900)
     marks = lambda n: F.transform(F.sequence(F.lit(0), F.floor(F.sqrt(n)).cast("int")), lambda i: i / F.floor(F.sqrt(n)))
