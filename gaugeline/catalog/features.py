@@ -317,10 +317,24 @@ def sample_rows(spark, sf_dir):
 # ---- reliability and status --------------------------------------------------
 
 UNIT_LIFE = with_(SENSOR, bins_sql(60, True), rul_sql(True), """
-aged AS (SELECT *, floor(minutes_since_last_failure / 360) AS age FROM life),
-life_table AS (SELECT age, avg(RUL_minutes) AS mean_minutes FROM aged WHERE RUL_minutes IS NOT NULL GROUP BY 1),
+ends AS (SELECT unit_id, max(timestamp_bin) AS last_bin FROM life GROUP BY 1),
+aged AS (
+  SELECT life.*, CASE WHEN minutes_since_last_failure = 0 THEN 0 ELSE floor(minutes_since_last_failure / 360) + 1 END AS age,
+         coalesce(RUL_minutes, epoch(last_bin - timestamp_bin) / 60.0) AS seen
+  FROM life JOIN ends USING (unit_id)
+),
+leaving AS (SELECT age, seen, count(*) AS n, count(RUL_minutes) AS failures FROM aged GROUP BY 1, 2),
+at_risk AS (
+  SELECT *, sum(n) OVER (PARTITION BY age ORDER BY seen DESC) AS at_risk,
+         coalesce(lag(seen) OVER (PARTITION BY age ORDER BY seen), 0) AS before FROM leaving
+),
+survival AS (
+  SELECT age, seen, before, failures, at_risk, coalesce(product(1 - failures::DOUBLE / at_risk) OVER (
+    PARTITION BY age ORDER BY seen ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 1) AS alive FROM at_risk
+),
+life_table AS (SELECT age, sum(alive * (seen - before)) AS mean_minutes FROM survival GROUP BY 1 HAVING sum(failures) > 0),
 predicted AS (
-  SELECT aged.*, coalesce(t.mean_minutes, (SELECT avg(mean_minutes) FROM life_table)) AS predicted_minutes
+  SELECT aged.*, coalesce(t.mean_minutes, (SELECT avg(mean_minutes) FROM life_table WHERE age IS DISTINCT FROM 0)) AS predicted_minutes
   FROM aged LEFT JOIN life_table t ON aged.age IS NOT DISTINCT FROM t.age
 )""")
 BAND = """CASE WHEN predicted_minutes < 120 THEN 'Critical' WHEN predicted_minutes <= 480 THEN 'High'
@@ -339,6 +353,13 @@ def _predicted(spark, sf_dir):
     return rounded(rul.predict_life(rows, rul.life_table(rows)))
 
 
+@entry("survival_curve", UNIT_LIFE + f"""
+SELECT age::BIGINT AS age, {q6('seen')} AS seen, failures, at_risk::BIGINT AS at_risk, {q6('alive')} AS alive FROM survival""")
+def survival_curve(spark, sf_dir):
+    """Share of units still running by time, for every age."""
+    return rounded(rul.survival_steps(stage(unit_bins_view(spark, sf_dir), "unit-life")))
+
+
 @entry("risk_bands", UNIT_LIFE + f"""
 SELECT unit_id, timestamp_bin, {q6('predicted_minutes')} AS predicted_minutes, risk_band, {ACTION} AS action
 FROM (SELECT *, {BAND} AS risk_band FROM predicted)""")

@@ -89,21 +89,48 @@ def latest_rows(df: DataFrame, key: str, ts: str) -> DataFrame:
     return newest.filter(F.col("_row").isNotNull()).select("_row.*")
 
 
-def life_table(rows: DataFrame, width_minutes: int = 360) -> DataFrame:
-    """(age, mean_minutes): mean remaining life by time since the last failure, in steps.
+def survival_steps(
+    rows: DataFrame, width_minutes: int = 360, parts: Sequence[str] = ("unit_id",), ts: str = "timestamp_bin",
+) -> DataFrame:
+    """(age, seen, failures, at_risk, alive): the product-limit estimate of remaining life for every age.
+
+    `age` is 0 for failing rows, NULL if no failure came before, else 1 plus the steps of `width_minutes` since the last
+    failure. A row whose failure is known leaves at its remaining life; any other row is censored: it was
+    seen without a failure until its unit's last bin. `alive` is the share still running just before `seen`.
+    """
+    unit = F.struct(*parts)
+    ends = rows.groupBy(unit.alias("_unit")).agg(F.max(ts).alias("_end"))
+    seen = F.coalesce("RUL_minutes", minutes_between("_end", ts))
+    leaving = rows.withColumn("_unit", unit).join(ends, "_unit").groupBy(_age(width_minutes).alias("age"), seen.alias("seen")).agg(
+        F.count(F.lit(1)).alias("_leaving"), F.count("RUL_minutes").alias("failures"))
+    # A row per age and distinct time: bounded by the span of the log, not by its readings.
+    later = Window.partitionBy("age").orderBy(F.desc("seen")).rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy("age").orderBy("seen").rowsBetween(Window.unboundedPreceding, -1)
+    counted = leaving.withColumn("at_risk", F.sum("_leaving").over(later))
+    stays = F.lit(1.0) - F.col("failures") / F.col("at_risk")
+    return counted.select("age", "seen", "failures", "at_risk", F.coalesce(F.product(stays).over(earlier), F.lit(1.0)).alias("alive"))
+
+
+def life_table(
+    rows: DataFrame, width_minutes: int = 360, parts: Sequence[str] = ("unit_id",), ts: str = "timestamp_bin",
+) -> DataFrame:
+    """(age, mean_minutes): mean remaining life by age, the area below the product-limit curve up to the longest time seen.
 
-    Rows of unknown age form the NULL step; rows without a known end are left out.
+    Ages at which no failure was seen are left out. Leaving out the censored rows instead would make every life too short.
     """
-    known = rows.filter(F.col("RUL_minutes").isNotNull())
-    return known.groupBy(_age(width_minutes).alias("age")).agg(F.avg("RUL_minutes").alias("mean_minutes"))
+    steps = survival_steps(rows, width_minutes, parts, ts)
+    before = F.coalesce(F.lag("seen").over(Window.partitionBy("age").orderBy("seen")), F.lit(0.0))
+    area = steps.withColumn("_area", F.col("alive") * (F.col("seen") - before))
+    table = area.groupBy("age").agg(F.sum("_area").alias("mean_minutes"), F.sum("failures").alias("_failures"))
+    return table.filter("_failures > 0").select("age", "mean_minutes")
 
 
 def predict_life(rows: DataFrame, table: DataFrame, width_minutes: int = 360) -> DataFrame:
-    """`predicted_minutes` from a life table: the row's step, else the mean over all steps.
+    """`predicted_minutes` from a life table: that of the row's age, else the mean over all ages of running units.
 
     Needs only what is known at the row's time, so the newest rows get a value too.
     """
-    overall = table.agg(F.avg("mean_minutes").alias("_overall"))  # one row
+    overall = table.filter(F.coalesce("age", F.lit(-1)) != 0).agg(F.avg("mean_minutes").alias("_overall"))  # one row
     steps = table.select(F.col("age").alias("_age"), F.col("mean_minutes").alias("_mean"))
     aged = rows.withColumn("_own", _age(width_minutes))
     met = aged.join(steps, F.col("_own").eqNullSafe(F.col("_age")), "left").crossJoin(F.broadcast(overall))
@@ -111,4 +138,5 @@ def predict_life(rows: DataFrame, table: DataFrame, width_minutes: int = 360) ->
 
 
 def _age(width_minutes: int) -> Column:
-    return F.floor(F.col("minutes_since_last_failure") / width_minutes)
+    since = F.col("minutes_since_last_failure")
+    return F.when(since == 0, F.lit(0)).otherwise(F.floor(since / width_minutes) + 1)
