@@ -425,6 +425,31 @@ def mtbf(spark, sf_dir):
     return rounded(kpi.reliability(binned_log(sensor_view(spark, sf_dir), 60, ["unit_id"]), 60))
 
 
+SPLIT = "2024-01-16"
+RATIO = "(failures_after / hours_after) / (failures_before / hours_before)"
+REACH = "exp(1.959964e0 * sqrt(1e0 / failures_before + 1e0 / failures_after))"
+KNOWN = "failures_before > 0 AND failures_after > 0 AND hours_before > 0 AND hours_after > 0"
+
+
+@entry("failure_rate_change", with_(SENSOR, bins_sql(60, True), EPISODES, f"""
+sides AS (
+  SELECT unit_id % 5 AS unit_group, timestamp_bin >= TIMESTAMP '{SPLIT}' AS after, 1e0 AS hours, 0 AS runs FROM bins
+  UNION ALL SELECT unit_id % 5, start_time >= TIMESTAMP '{SPLIT}', 0e0, 1 FROM episodes
+),
+both_sides AS (
+  SELECT unit_group, sum(runs) FILTER (NOT after) AS failures_before, sum(runs) FILTER (after) AS failures_after,
+         sum(hours) FILTER (NOT after) AS hours_before, sum(hours) FILTER (after) AS hours_after FROM sides GROUP BY 1
+)""") + f"""
+SELECT unit_group, coalesce(failures_before, 0)::BIGINT AS failures_before, coalesce(failures_after, 0)::BIGINT AS failures_after,
+       {q6('coalesce(hours_before, 0)')} AS hours_before, {q6('coalesce(hours_after, 0)')} AS hours_after,
+       {q6(f'CASE WHEN {KNOWN} THEN {RATIO} END')} AS rate_ratio, {q6(f'CASE WHEN {KNOWN} THEN {RATIO} / {REACH} END')} AS ratio_low,
+       {q6(f'CASE WHEN {KNOWN} THEN {RATIO} * {REACH} END')} AS ratio_high FROM both_sides""")
+def failure_rate_change(spark, sf_dir):
+    """Failure rates before and after a date, by unit group, with 95 % limits of their ratio."""
+    binned = binned_log(sensor_view(spark, sf_dir), 60, ["unit_id"])
+    return rounded(kpi.rate_change(stage(binned, "unit-bins"), 60, SPLIT, F.col("unit_id") % 5))
+
+
 @entry("roi", MTBF + f"SELECT unit_id, {q6('failures * (500e0 + 1500e0) - 250e0')} AS savings FROM rel")
 def roi(spark, sf_dir):
     """Savings per unit if each of its failures had been avoided."""

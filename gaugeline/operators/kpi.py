@@ -75,6 +75,36 @@ def reliability(bins: DataFrame, bin_minutes: int, unit: str = "unit_id", ts: st
     )
 
 
+def rate_change(
+    bins: DataFrame, bin_minutes: int, split: str, group: Column, name: str = "unit_group", unit: str = "unit_id",
+    ts: str = "timestamp_bin", z: float = 1.959964,
+) -> DataFrame:
+    """(group, failures and operating hours before and from `split` on, rate_ratio, ratio_low, ratio_high) per unit group.
+
+    Failures are taken as Poisson counts over the operating time. The limits are those of the log ratio, `z` standard
+    errors to each side (1.96: 95 %); a side without failures or without operating time has no ratio. `group` is a column
+    of the unit key. A run of failing bins counts once, on the side where it starts.
+    """
+    at = F.lit(split).cast("timestamp_ntz")
+    hours = bins.groupBy(group.alias(name), (F.col(ts) >= at).alias("_after")).agg(
+        (F.count(F.lit(1)) * F.lit(bin_minutes / 60.0)).alias("_hours"))
+    runs = failure_episodes(bins, [unit], ts).groupBy(group.alias(name), (F.col("start_time") >= at).alias("_after")).agg(
+        F.count(F.lit(1)).alias("_runs"))
+    # A row per group and side from here on.
+    sides = hours.withColumn("_runs", F.lit(0).cast("long")).unionByName(runs.withColumn("_hours", F.lit(0.0)))
+
+    def on(side: bool, column: str) -> Column:
+        return F.sum(F.when(F.col("_after") == side, F.col(column)).otherwise(0))
+    both = sides.filter(F.col("_after").isNotNull()).groupBy(name).agg(
+        on(False, "_runs").alias("failures_before"), on(True, "_runs").alias("failures_after"),
+        on(False, "_hours").alias("hours_before"), on(True, "_hours").alias("hours_after"))
+    known = (F.least("failures_before", "failures_after") > 0) & (F.least("hours_before", "hours_after") > 0)
+    ratio = F.when(known, F.col("failures_after") / F.col("hours_after") / (F.col("failures_before") / F.col("hours_before")))
+    reach = F.exp(z * F.sqrt(1.0 / F.col("failures_before") + 1.0 / F.col("failures_after")))
+    return both.select("*", ratio.alias("rate_ratio"), F.when(known, ratio / reach).alias("ratio_low"),
+                       F.when(known, ratio * reach).alias("ratio_high"))
+
+
 def savings(failures_avoided: Column, delay_cost: float, damage_cost: float, planned_delta: float) -> Column:
     """Cost saved: avoided failures at their full cost, less the extra planned maintenance."""
     return failures_avoided * F.lit(delay_cost + damage_cost) - F.lit(planned_delta)

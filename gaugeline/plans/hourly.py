@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..operators.bins import failures_by_hour, failures_by_place, hourly_by_place, hourly_with_failures
-from ..operators.enrich import join_hour_labels, join_place_labels
+from ..operators.bins import failures_by_place, hourly_by_place, hourly_with_failures, hourly_with_hour_failures
+from ..operators.enrich import join_place_labels
 from ..operators.rul import add_rul_hours
 from ..session import stage
 
@@ -22,7 +22,7 @@ def hourly_fused(readings: DataFrame) -> DataFrame:
 
 def hourly_failure(readings: DataFrame) -> DataFrame:
     """Statistics by place, labelled by whether anything failed in that hour anywhere."""
-    return join_hour_labels(hourly_by_place(readings), failures_by_hour(readings))
+    return hourly_with_hour_failures(readings)
 
 
 def rul_hours(readings: DataFrame, cap_hours: float | None = None) -> DataFrame:
