@@ -44,7 +44,7 @@ MIX = np.uint64(0x9E3779B97F4A7C15)  # odd multipliers of the hash steps
 STEP = np.uint64(0xD1B54A32D192ED03)
 BASE = 1.001
 TOP = 65534
-WORD_CACHE = 500_000
+WORD_CACHE = 150_000
 SLACK = 0.1
 
 
@@ -192,10 +192,15 @@ class _Finder:
         self.words, self.percent, self.margin = words, percent, margin
         self.links: DataFrame | None = None
 
+    def sketches_of(self, ids: DataFrame) -> DataFrame:
+        """Staged `(id, n_shingles, registers)` of the classes in `ids`, looked up where they are: registers are too wide to shuffle all."""
+        some = flagged(self.classes.select("id", "n_shingles", "registers"), F.col("id"), ids, "wanted").where("wanted")
+        return stage(some.drop("wanted"), "registers")
+
     def likely(self, pairs: DataFrame) -> DataFrame:
         """Pairs `(a, b)` of classes whose registers leave the target possible."""
         m, least = self.m, self.percent / 100 - self.margin
-        sketch = self.classes.select("id", "n_shingles", "registers")
+        sketch = self.sketches_of(pairs.select(F.col("a").alias("id")).union(pairs.select("b")))
         both = pairs.join(sketch.toDF("a", "n_a", "r_a"), "a").join(sketch.toDF("b", "n_b", "r_b"), "b")
         both = both.where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * self.percent)
 
@@ -217,7 +222,7 @@ class _Finder:
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """Pairs whose full sets are similar enough."""
-        pairs = stage(self.likely(pairs), "likely")
+        pairs = stage(self.likely(stage(pairs, "pairs")), "likely")
         percent = self.percent
         full = self.sets(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
         both = pairs.join(full.toDF("a", "s_a"), "a").join(full.toDF("b", "s_b"), "b")
@@ -287,7 +292,7 @@ def _block_links(members: DataFrame, finder: _Finder, side: int) -> DataFrame:
     met = cut.join(count, "bucket").select(
         "bucket", "band", "id", "label", own.alias("block"), F.explode(F.sequence(F.lit(0), last)).alias("other"))
     keyed = met.select("bucket", "band", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "id", "label")
-    sketch = finder.classes.select("id", "n_shingles", "registers")
+    sketch = finder.sketches_of(members.select("id"))
     tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # small rows, long work: not to be coalesced
     meeting = ["bucket", "x", "y"]
     m, bands, least, percent = finder.m, finder.bands, finder.percent / 100 - finder.margin, finder.percent
