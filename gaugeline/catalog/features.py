@@ -11,7 +11,7 @@ from ..plans import hourly
 from ..plans.etl import binned_log, labelled_bins, rul_features, run_etl
 from ..session import new_path, stage
 from ..sources import read_features, read_sensor_csv, read_table, write_features, write_table
-from ..sources.fixtures import context_view, sensor_view
+from ..sources.fixtures import context_view, sensor_view, station_context_view, stations_view
 from ..streaming import live
 from .common import (
     CONTEXT, HOURLY, HOURLY_COLUMNS, HOURLY_ROUNDED, SENSOR, SIGNALS, bins_sql, features_sql, hourly_view,
@@ -228,6 +228,71 @@ def context_filtered(spark, sf_dir):
     return kept.select("reading_id", "unit_id", "timestamp", "regime")
 
 
+NEAREST_KM = 2.0
+NEAREST = f"""
+stations AS (
+  SELECT s_suppkey AS station_id, 41.0::DOUBLE + 0.00131::DOUBLE * (s_suppkey * 31 % 173) AS lat,
+         (-8.75)::DOUBLE + 0.00173::DOUBLE * (s_suppkey * 57 % 131) AS lon FROM supplier
+),
+spots AS (SELECT DISTINCT gpsLat, gpsLong FROM placed),
+apart AS (
+  SELECT gpsLat, gpsLong, station_id, 2 * 6371.0088::DOUBLE * asin(sqrt(
+    pow(sin(radians(lat - gpsLat) / 2), 2)
+    + cos(radians(gpsLat)) * cos(radians(lat)) * pow(sin(radians(lon - gpsLong) / 2), 2))) AS distance_km
+  FROM spots, stations
+),
+nearest AS (
+  SELECT * FROM apart WHERE distance_km <= {NEAREST_KM}
+  QUALIFY row_number() OVER (PARTITION BY gpsLat, gpsLong ORDER BY distance_km, station_id) = 1
+)"""
+
+
+def _with_station(spark, sf_dir):
+    readings = sensor_view(spark, sf_dir).select("reading_id", "timestamp", "gpsLat", "gpsLong")
+    return enrich.nearest_place(readings, stations_view(spark, sf_dir), "station_id", "gpsLat", "gpsLong",
+                                "lat", "lon", NEAREST_KM, cell_km=0.25)
+
+
+@entry("nearest_station", with_(SENSOR, NEAREST) + f"""
+SELECT reading_id, station_id, {q6('distance_km')} AS distance_km
+FROM sensor LEFT JOIN nearest USING (gpsLat, gpsLong)""")
+def nearest_station(spark, sf_dir):
+    """Each reading's nearest station within two kilometres."""
+    return rounded(_with_station(spark, sf_dir).select("reading_id", "station_id", "distance_km"))
+
+
+@entry("nearest_context", with_(SENSOR, NEAREST, """
+weather AS (
+  SELECT o_custkey % 20 AS spot, TIMESTAMP '2024-01-01' + to_hours(((o_orderkey % 30) * 24 + o_custkey % 24)::BIGINT) AS ts,
+         max(o_totalprice) AS temp
+  FROM orders GROUP BY 1, 2
+),
+located AS (SELECT s.reading_id, s."timestamp", n.station_id, n.station_id % 20 AS spot
+            FROM sensor s LEFT JOIN nearest n USING (gpsLat, gpsLong))""") + """
+SELECT l.reading_id, l.station_id, w.ts AS ts_matched, w.temp
+FROM located l ASOF LEFT JOIN weather w ON l.spot = w.spot AND l."timestamp" >= w.ts""")
+def nearest_context(spark, sf_dir):
+    """The newest weather of the nearest station's network at or before a reading."""
+    located = _with_station(spark, sf_dir).select("reading_id", "timestamp", "station_id",
+                                                  (F.col("station_id") % 20).alias("spot"))
+    weather = station_context_view(spark, sf_dir).withColumnRenamed("station_id", "spot")
+    matched = enrich.as_of(located, weather, "spot", "timestamp", "ts", ["temp"], ["reading_id"])
+    return matched.select("reading_id", "station_id", "ts_matched", "temp")
+
+
+@entry("around_all_failures", with_(SENSOR, bins_sql(60, True)) + """
+SELECT e.failure_time, count(*) AS bins_near, count(DISTINCT b.unit_id) AS units_near
+FROM bins b JOIN (SELECT DISTINCT timestamp_bin AS failure_time FROM bins WHERE failure = 1) e
+  ON b.timestamp_bin BETWEEN e.failure_time - INTERVAL 6 hours AND e.failure_time + INTERVAL 2 hours
+GROUP BY 1""")
+def around_all_failures(spark, sf_dir):
+    """Bins of the whole fleet around every failure time: an interval join without a key."""
+    binned = binned_log(sensor_view(spark, sf_dir), 60, ["unit_id"]).select("unit_id", "timestamp_bin", "failure")
+    events = clean.only_failures(binned).select(F.col("timestamp_bin").alias("failure_time")).distinct()
+    near = enrich.around_events(binned.drop("failure"), events, "timestamp_bin", "failure_time", 6 * 3600, 2 * 3600)
+    return near.groupBy("failure_time").agg(F.count(F.lit(1)).alias("bins_near"), F.countDistinct("unit_id").alias("units_near"))
+
+
 @entry("static_places", with_(SENSOR) + """
 SELECT reading_id, round(gpsLat, 2) AS lat_rounded, round(gpsLong, 2) AS lon_rounded, p.readings
 FROM sensor LEFT JOIN (

@@ -36,3 +36,24 @@ def context_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy((F.col("o_custkey") % 7).alias("cell_id"), F.timestamp_add("HOUR", hours, start).alias("ts"))
         .agg(F.max("o_totalprice").alias("temp"))
     )
+
+
+def stations_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`supplier` as weather stations around the readings' area: (station_id, lat, lon)."""
+    key = F.col("s_suppkey")
+    return spark.read.parquet(f"{sf_dir}/supplier.parquet").select(
+        key.alias("station_id"),
+        (F.lit(41.0) + F.lit(0.00131) * (key * 31 % 173)).alias("lat"),
+        (F.lit(-8.75) + F.lit(0.00173) * (key * 57 % 131)).alias("lon"),
+    )
+
+
+def station_context_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`orders` as weather by station: (station_id, ts, temp)."""
+    start = F.expr("timestamp_ntz'2024-01-01 00:00:00'")
+    hours = (F.col("o_orderkey") % 30) * 24 + F.col("o_custkey") % 24
+    return (
+        spark.read.parquet(f"{sf_dir}/orders.parquet")
+        .groupBy((F.col("o_custkey") % 20).alias("station_id"), F.timestamp_add("HOUR", hours, start).alias("ts"))
+        .agg(F.max("o_totalprice").alias("temp"))
+    )

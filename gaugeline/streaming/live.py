@@ -7,13 +7,11 @@ where the stage stood.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
-import pandas as pd
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.numeric import with_place
 from ..functions.quantiles import percentile_arrays
@@ -24,7 +22,8 @@ from ..operators.eda import summary_stats
 from ..operators.features import rolling_features
 from ..operators.ordered import running
 from ..operators.prep import impute
-from ..session import importable, new_path, stage
+from ..session import new_path, stage
+from . import keyed
 
 
 def live_bins(
@@ -74,77 +73,34 @@ def read_stream(spark: SparkSession, table: DataFrame, path: str, name_filter: s
     return reader.parquet(path)
 
 
-def _advance(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """One unit's new bins against the second of its last failure, the only thing kept.
-
-    The state never falls: a late failure older than it changes nothing, and a late bin is
-    measured only against failures at or before it.
-    """
-    rows = pd.concat(list(frames)).sort_values("second", kind="stable")
-    last = rows["second"].where(rows["failure"] == 1).ffill()
-    own = last.max()
-    if state.exists:
-        before = state.get[0]
-        last = last.where(last.notna() & (last >= before), rows["second"].where(rows["second"] >= before) * 0 + before).fillna(last)
-        own = before if pd.isna(own) else max(before, own)
-    if not pd.isna(own):
-        state.update((int(own),))
-    yield pd.DataFrame({
-        "unit": key[0], "second": rows["second"], "failure": rows["failure"].astype("int32"),
-        "minutes_since_last_failure": (rows["second"] - last) / 60.0,
-    })
-
-
 def live_since_failure(bins: DataFrame, ts: str = "timestamp_bin", unit: str = "unit_id") -> DataFrame:
-    """Streaming minutes since each unit's last failure.
-
-    Takes finished bins, so a unit has at most one row per bin in a batch: three numbers each.
-    """
-    narrow = bins.select(F.col(unit).alias("unit"), F.unix_timestamp(ts).alias("second"), "failure")
-    kind = narrow.schema["unit"].dataType.simpleString()
-    importable(bins.sparkSession)
-    out = narrow.groupBy("unit").applyInPandasWithState(
-        _advance, f"unit {kind}, second bigint, failure int, minutes_since_last_failure double", "last_failure bigint",
-        "append", GroupStateTimeout.NoTimeout,
-    )
-    return out.select(
-        F.col("unit").alias(unit), at_second(F.col("second")).alias(ts), "failure", "minutes_since_last_failure",
-    )
+    """Streaming minutes since each unit's last failure, from finished bins in any order."""
+    return keyed.since_failure(bins, ts, unit)
 
 
 def score_bins(
     stream: DataFrame, model: PipelineModel, features: Sequence[str], out_path: str, checkpoint: str,
     fills: Mapping[str, float], parts: Sequence[str] = ("unit_id",), rows_back: int = 14, roll_minutes: int = 30,
-    ts: str = "timestamp_bin",
+    ts: str = "timestamp_bin", idle_ms: int | None = None,
 ) -> None:
     """Score each batch of finished bins with features that reach into earlier bins.
 
-    The last `rows_back` bins of every unit are kept as a small table, written anew with each batch, so
-    a unit may be silent for any time and no batch reads the bin table. Missing features get
-    the train medians in `fills`, as in training. Batch ids are folders of the output, so a replayed
-    batch overwrites itself instead of adding rows.
+    The last `rows_back` bins of a unit are state of the stream (`keyed.NewestBins`): a batch reads and writes
+    those of the units it has bins of, whatever the fleet's size, and a unit may be silent for any time
+    unless `idle_ms` bounds it. Missing features get the train medians in `fills`, as in training. Batch
+    ids are folders of the output, so a replayed batch overwrites itself instead of adding rows.
     """
-    spark = stream.sparkSession
-    tails = f"{checkpoint.rstrip('/')}-tails"
-
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch = stage(batch, "live-batch")
-        recent = batch.withColumn("_fresh", F.lit(True))
-        if batch_id > 0:
-            older = spark.read.schema(batch.schema).parquet(f"{tails}/batch={batch_id - 1}")
-            recent = recent.unionByName(older.withColumn("_fresh", F.lit(False)))
+        recent = stage(batch, "live-batch")
         placed = running(recent, ts, day_chunk(ts), parts, position="pos")
         rolled = rolling_features(placed, rows_back, roll_minutes, parts).filter("_fresh")
         ready = impute(rolled, features, dict(fills))
         model.transform(ready).select(*parts, ts, *features, "y_pred").write.mode("overwrite").parquet(
             f"{out_path}/batch={batch_id}"
         )
-        newest = Window.partitionBy(*parts).orderBy(F.desc(ts))
-        kept = recent.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") <= rows_back)
-        kept.select(*batch.columns).write.mode("overwrite").parquet(f"{tails}/batch={batch_id}")
 
     query = (
-        stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+        keyed.with_newest(stream, parts, ts, rows_back, idle_ms).writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()
