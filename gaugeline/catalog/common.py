@@ -91,6 +91,20 @@ flagged AS (
 placed AS (SELECT * FROM flagged WHERE gpsLat IS NOT NULL AND gpsLong IS NOT NULL)"""
 
 
+FULL_SENSOR = """
+full_log AS (
+  SELECT *, Motor_current * 0.25::DOUBLE + Oil_temperature AS TP2, Motor_current - Oil_temperature * 0.5::DOUBLE AS TP3,
+    Oil_temperature * 0.125::DOUBLE AS H1, CASE WHEN reading_id % 11 <> 3 THEN Motor_current * 2::DOUBLE END AS Reservoirs,
+    (reading_id % 97) * 0.5::DOUBLE AS Flowmeter, (reading_id % 13)::DOUBLE AS Caudal_impulses,
+    CASE WHEN reading_id % 50 <> 7 THEN (unit_id % 50) * 1.5::DOUBLE END AS gpsSpeed,
+    (reading_id % 3 = 0)::INTEGER AS Pressure_switch, (Oil_temperature % 2)::INTEGER AS DV_eletric,
+    (Motor_current > 50)::INTEGER AS Towers,
+    CASE WHEN reading_id % 4 <> 1 THEN (reading_id % 7 = 0)::INTEGER END AS Oil_level,
+    (reading_id % 50 <> 7)::INTEGER AS gpsQuality
+  FROM flagged
+)"""
+
+
 def bins_sql(minutes: int = 2, by_unit: bool = False, source: str = "placed") -> str:
     unit = "unit_id, " if by_unit else ""
     stats = ", ".join(

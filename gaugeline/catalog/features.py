@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.timebins import add_time_of_day, hours_between, minute_of_day, minutes_between, time_bin
+from ..functions.timebins import add_time_of_day, hour_bucket, hours_between, minute_of_day, minutes_between, time_bin
 from ..operators import bins, clean, eda, enrich, features, kpi, rul
-from ..plans import hourly
+from ..plans import hourly, incremental
 from ..plans.etl import binned_log, labelled_bins, rul_features, run_etl
 from ..session import new_path, stage
 from ..sources import read_features, read_sensor_csv, read_table, write_features, write_table
-from ..sources.fixtures import context_view, sensor_view, station_context_view, stations_view
+from ..sources.fixtures import context_view, full_sensor_view, sensor_view, station_context_view, stations_view
 from ..streaming import live
+from ..schema import BINARY_SIGNALS, NUMERIC_SIGNALS
 from .common import (
-    CONTEXT, HOURLY, HOURLY_COLUMNS, HOURLY_ROUNDED, SENSOR, SIGNALS, bins_sql, features_sql, hourly_view,
+    CONTEXT, FULL_SENSOR, HOURLY, HOURLY_COLUMNS, HOURLY_ROUNDED, SENSOR, SIGNALS, bins_sql, features_sql, hourly_view,
     q6, r6, rounded, rul_sql, unit_bins_view, with_,
 )
 
@@ -193,6 +194,45 @@ def etl_job(spark, sf_dir):
     return rounded(run_etl(spark, source, target))
 
 
+@entry("bin_aggregates_full", with_(SENSOR, FULL_SENSOR) + """
+SELECT time_bucket(INTERVAL '2 minutes', "timestamp") AS timestamp_bin, """ + ", ".join(
+    [f"{q6(f'{f}({c})')} AS {c}_{n}" for c in NUMERIC_SIGNALS
+     for n, f in (("avg", "avg"), ("std", "stddev_samp"), ("min", "min"), ("max", "max"))]
+    + [f"max({c}) AS {c}_flag" for c in BINARY_SIGNALS])
+       + ", max(failure_raw) AS failure FROM full_log WHERE gpsLat IS NOT NULL AND gpsLong IS NOT NULL GROUP BY 1")
+def bin_aggregates_full(spark, sf_dir):
+    """Bins of a log with all signals."""
+    return rounded(bins.bin_readings(clean.prepare_readings(full_sensor_view(spark, sf_dir)), 2))
+
+
+@entry("hourly_location_full", with_(SENSOR, FULL_SENSOR) + f"""
+SELECT date_trunc('hour', "timestamp") AS timestamp_hour, round(gpsLat, 2) AS lat_rounded, round(gpsLong, 2) AS lon_rounded,
+  {q6('avg(TP2)')} AS TP2_avg, {q6('stddev_samp(TP2)')} AS TP2_std, {q6('avg(TP3)')} AS TP3_avg, {q6('avg(H1)')} AS H1_avg,
+  {q6('avg(DV_pressure)')} AS DV_pressure_avg, {q6('avg(Oil_temperature)')} AS Oil_temp_avg,
+  {q6('avg(Motor_current)')} AS Motor_current_avg, {q6('max(Motor_current)')} AS Motor_current_max,
+  {q6('min(Motor_current)')} AS Motor_current_min
+FROM full_log WHERE gpsLat IS NOT NULL AND gpsLong IS NOT NULL GROUP BY 1, 2, 3""")
+def hourly_location_full(spark, sf_dir):
+    """The hourly table by place of a log with all signals."""
+    placed = clean.grid_cell(clean.prepare_readings(full_sensor_view(spark, sf_dir)))
+    keys = [hour_bucket("timestamp").alias("timestamp_hour"), "lat_rounded", "lon_rounded"]
+    return rounded(placed.groupBy(*keys).agg(*bins.hourly_statistics(placed)))
+
+
+@entry("incremental_features",
+       with_(SENSOR, bins_sql(60, True), rul_sql(True), features_sql(True, 1, 60)) + "SELECT * FROM feat")
+def incremental_features(spark, sf_dir):
+    """A feature store made from a log that lacks the second half of its middle day, then given that day whole."""
+    readings, store = sensor_view(spark, sf_dir), new_path(spark, "store")
+    day = F.to_date("timestamp")
+    span = readings.agg(F.min(day).alias("first"), F.max(day).alias("last")).first()
+    middle = F.lit(span["first"] + (span["last"] - span["first"]) // 2)
+    there = (day != middle) | (F.hour("timestamp") < 12)
+    incremental.update_features(readings.filter(there), store, 60, 60, ["unit_id"])
+    incremental.update_features(readings.filter(day == middle), store, 60, 60, ["unit_id"])
+    return rounded(incremental.read_store(spark, store))
+
+
 # ---- joins -------------------------------------------------------------------
 
 ASOF = with_(SENSOR, CONTEXT) + """

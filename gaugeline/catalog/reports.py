@@ -68,12 +68,14 @@ def summary_stats(spark, sf_dir):
 
 
 @entry("summary_export", HF + " UNION ALL ".join(
-    f"SELECT '{c}' AS feature, count({c})::VARCHAR AS n FROM hf" for c in HOURLY_COLUMNS))
+    f"SELECT '{c}' AS feature, count({c}) AS n, {q6(f'avg({c})')} AS mean, {q6(f'stddev_samp({c})')} AS stddev, "
+    f"min({c}) AS min, max({c}) AS max FROM hf" for c in HOURLY_COLUMNS))
 def summary_export(spark, sf_dir):
-    """The summary written as CSV for dashboards and read back."""
+    """The whole summary written as CSV for dashboards and read back with its types."""
     table = eda.summary_stats(hourly_view(spark, sf_dir), HOURLY_COLUMNS)
     path = write_report(table, new_path(spark, "summary"), "summary")
-    return spark.read.csv(path, header=True).select("feature", "n")
+    back = spark.read.schema(table.schema).csv(path, header=True)
+    return back.withColumn("mean", r6("mean")).withColumn("stddev", r6("stddev"))
 
 
 @entry("missingness", FEAT + " UNION ALL ".join(f"""
@@ -656,10 +658,9 @@ def metrics_table(spark, sf_dir):
     return rounded(evaluate.metrics(pairs_view(spark, sf_dir)))
 
 
-@entry("metrics_rounded", P + f"SELECT model, round(MAE, 3) AS MAE, round(RMSE, 3) AS RMSE, N FROM ({metrics_sql()})")
+@entry("metrics_rounded", P + metrics_sql(3))
 def metrics_rounded(spark, sf_dir):
-    table = rounded(evaluate.metrics(pairs_view(spark, sf_dir), order_by="MAE"))
-    return table.select("model", F.round("MAE", 3).alias("MAE"), F.round("RMSE", 3).alias("RMSE"), "N")
+    return evaluate.metrics(pairs_view(spark, sf_dir), order_by="MAE", digits=3)
 
 
 @entry("best_model", P + "SELECT arg_min(model, RMSE) AS model, min(RMSE) AS RMSE FROM (" + metrics_sql() + ")")
@@ -900,7 +901,9 @@ def column_medians(spark, sf_dir):
     return rounded(medians(features_view(spark, sf_dir), STATS))
 
 
-@entry("report_export", P + "SELECT model, count(*)::VARCHAR AS N FROM good GROUP BY 1")
+@entry("report_export", P + metrics_sql())
 def report_export(spark, sf_dir):
-    path = write_report(evaluate.metrics(pairs_view(spark, sf_dir)), new_path(spark, "reports"), "metrics")
-    return spark.read.csv(path, header=True).select("model", "N")
+    """The whole table of metrics written as CSV and read back with its types."""
+    table = evaluate.metrics(pairs_view(spark, sf_dir))
+    path = write_report(table, new_path(spark, "reports"), "metrics")
+    return rounded(spark.read.schema(table.schema).csv(path, header=True))

@@ -57,3 +57,16 @@ def station_context_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy((F.col("o_custkey") % 20).alias("station_id"), F.timestamp_add("HOUR", hours, start).alias("ts"))
         .agg(F.max("o_totalprice").alias("temp"))
     )
+
+
+def full_sensor_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`sensor_view` with a value for every other signal of the log, some of them missing at times."""
+    key, value, k = F.col("reading_id"), F.col("Motor_current"), F.col("Oil_temperature")
+    return sensor_view(spark, sf_dir).withColumns({
+        "TP2": value * 0.25 + k, "TP3": value - k * 0.5, "H1": k * 0.125,
+        "Reservoirs": F.when(key % 11 != 3, value * 2.0), "Flowmeter": (key % 97) * F.lit(0.5),
+        "Caudal_impulses": (key % 13).cast("double"), "gpsSpeed": F.when(key % 50 != 7, (F.col("unit_id") % 50) * F.lit(1.5)),
+        "Pressure_switch": (key % 3 == 0).cast("int"), "DV_eletric": (k % 2).cast("int"),
+        "Towers": (value > 50).cast("int"), "Oil_level": F.when(key % 4 != 1, (key % 7 == 0).cast("int")),
+        "gpsQuality": (key % 50 != 7).cast("int"),
+    })
