@@ -278,19 +278,34 @@ def median_impute(spark, sf_dir):
     return rounded(rows.select("pos", "split", *names))
 
 
-@entry("saved_split", "WITH " + prepared_sql(["Motor_current_std"]) + """
-SELECT split, count(*) AS n, min(pos) AS first_pos, max(pos) AS last_pos FROM split GROUP BY 1""")
+@entry("saved_split", "WITH " + prepared_sql(["Motor_current_std"])
+       + f"\nSELECT timestamp_bin, pos, cut, split, {q6('RUL_minutes')} AS RUL_minutes FROM split")
 def saved_split(spark, sf_dir):
-    """Cut and positions saved, loaded, and applied again."""
+    """Cut and positions saved, loaded, and applied again: every row's place and side."""
     split = stage(_split(spark, sf_dir)[0], "split")
     folder = new_path(spark, "artifacts")
     save_record(spark, f"{folder}/cut", {"cut": split.agg(F.max("cut").alias("cut")).first()["cut"]})
     save_split(split, f"{folder}/split")
     cut = load_record(spark, f"{folder}/cut")["cut"]
     again = prep.split_at(split.drop("pos", "cut", "split"), cut)
-    both = again.select("pos", "split").join(load_split(spark, f"{folder}/split"), ["pos", "split"])
-    return both.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first_pos"),
-                                     F.max("pos").alias("last_pos"))
+    both = again.drop("cut").join(load_split(spark, f"{folder}/split").select("pos", "split"), ["pos", "split"])
+    return rounded(both.select("timestamp_bin", "pos", F.lit(cut).cast("bigint").alias("cut"), "split", "RUL_minutes"))
+
+
+SAVED_MEDIANS = {"Motor_current_avg": 12.5, "Oil_temperature_max": -3.0}
+
+
+@entry("saved_fills", "WITH " + prepared_sql(["Motor_current_std"]) + "\nSELECT " + ", ".join(
+    f"{SAVED_MEDIANS[c]!r}::DOUBLE AS {c}" if c in SAVED_MEDIANS
+    else f"coalesce({q6(f'quantile_cont({c}::DOUBLE, 0.5)')}, 0e0) AS {c}" for c in FEATURES)
+       + " FROM split WHERE split = 'train'")
+def saved_fills(spark, sf_dir):
+    """Saved medians of two features, completed from the train rows for those the record lacks."""
+    path = f"{new_path(spark, 'artifacts')}/medians"
+    save_record(spark, path, SAVED_MEDIANS)
+    split, names = _split(spark, sf_dir)
+    fills = prep.saved_fills(stage(split, "split"), names, load_record(spark, path))
+    return rounded(spark.createDataFrame([tuple(float(fills[c]) for c in names)], ", ".join(f"{c} double" for c in names)))
 
 
 WINDOW = "OVER (ORDER BY pos ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING)"
@@ -629,13 +644,13 @@ def summary_with_gaps(spark, sf_dir):
     return rounded(eda.summary_stats(_gappy(spark, sf_dir), ["x", "y"]))
 
 
-@entry("csv_feature_training_set", "WITH " + prepared_sql(["Motor_current_std"])
-       + f"\nSELECT pos, split, {q6('RUL_minutes')} AS RUL_minutes FROM split")
+@entry("csv_feature_training_set", "WITH " + prepared_sql(FEATURES) + "\nSELECT pos, split, "
+       + ", ".join(f"{q6(c)} AS {c}" for c in ["RUL_minutes", *FEATURES]) + " FROM filled")
 def csv_feature_training_set(spark, sf_dir):
     """A feature table written as CSV, read back with its types, split and imputed for training."""
     path = new_path(spark, "features") + ".csv"
     features_view(spark, sf_dir).write.option("header", True).csv(path)
-    return rounded(training_set(read_table(spark, path)).rows.select("pos", "split", "RUL_minutes"))
+    return rounded(training_set(read_table(spark, path)).rows.select("pos", "split", "RUL_minutes", *FEATURES))
 
 
 # ---- evaluation --------------------------------------------------------------
