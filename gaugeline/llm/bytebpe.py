@@ -9,11 +9,13 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from functools import lru_cache
+from itertools import filterfalse
 
 import numpy as np
 
-CACHED = 300_000
+CACHED = 150_000
 _ODD = re.compile(
     r"\s\s|^\s|\s\Z|[\x00-\x09\x0b-\x1f\x7f-\xa0 ᠎ -‏ -  -⁯　﻿]")
 _VISIBLE = re.compile(r" (?=[!-~À-ɏ])")
@@ -27,6 +29,35 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _letters() -> list[tuple[str, str]]:
+    """The letter that byte-level BPE writes for each byte but the line break: visible Latin-1 stands for itself, the others follow from 256."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return [(chr(b), chr(256 + n)) for n, b in enumerate(hidden) if b != 10]
+
+
+class Known:
+    """Ids of pieces in two generations: when the new one is full it becomes the old one, from which what is met again is taken over."""
+
+    def __init__(self):
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def missing(self, wanted: set[str]) -> list[str]:
+        """Pieces of `wanted` in neither generation; all others are in the new one afterwards."""
+        absent = list(filterfalse(self.new.__contains__, wanted))
+        if len(self.new) + len(absent) > CACHED:
+            self.old, self.new, absent = self.new, {}, list(wanted)
+        old, new, missing = self.old, self.new, []
+        for piece in absent:
+            ids = old.get(piece)
+            if ids is None:
+                missing.append(piece)
+            else:
+                new[piece] = ids
+        return missing
+
+
 class PieceEncoder:
     """Encodes texts to little-endian 16-bit ids, as bytes.
 
@@ -36,17 +67,15 @@ class PieceEncoder:
 
     def __init__(self, path: str, special: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not special
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if special else []
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids must fit 16 bits")
-        self.single = Tokenizer.from_file(path)  # for words that are one pre-token
-        self.single.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = _letters()
         self.marks: dict[str, bytes] = {"": b""}
-        self.first: dict[str, bytes] = {}
-        self.spaced: dict[str, bytes] = {}
+        self.first, self.spaced = Known(), Known()
         self.line = self._ids(["\n"])[0]
 
     def _ids(self, pieces: list[str]) -> list[bytes]:
@@ -57,35 +86,36 @@ class PieceEncoder:
         return made
 
     def _cut(self, text: str) -> list[list[str]]:
-        if _ODD.search(text):
+        flat = text.replace("\n", " ")  # first a quick test that most texts pass
+        plain = flat.isprintable() and "  " not in flat and flat[:1] != " " and flat[-1:] != " "
+        if not plain and _ODD.search(text):
             return [_VISIBLE.split(text)]
         return [line.split(" ") for line in text.split("\n")]
 
     def _word_ids(self, words: list[str]) -> list[bytes]:
-        made = []
-        for at in range(0, len(words), 4000):
-            found = self.single.encode(words[at:at + 4000], is_pretokenized=True, add_special_tokens=False)
-            ids, owners = np.array(found.ids, "<u2"), np.array(found.word_ids, np.int64)
-            ends = np.searchsorted(owners, np.arange(min(4000, len(words) - at)), "right") * 2
-            raw, start = ids.tobytes(), 0
-            for end in ends.tolist():
-                made.append(raw[start:end])
-                start = end
-        return made
-
-    def _learn(self, known: dict[str, bytes], wanted: set[str], before: str) -> None:
-        missing = wanted - known.keys()
-        if len(known) + len(missing) > CACHED:
-            known.clear()
-            missing = wanted
-        parts = {m: _WORD.match(m) for m in missing}
-        odd = [m for m, part in parts.items() if part is None]
-        known.update(zip(odd, self._ids([before + m for m in odd])))
-        words = list({part[1] for part in parts.values() if part} - known.keys())
-        known.update(zip(words, self._word_ids([before + w for w in words])))
-        marks = list({part[2] for part in parts.values() if part} - self.marks.keys())
+        """Ids of words that are one pre-token each: the model's own step on their bytes, spelled as its letters."""
+        spelled = "\n".join(words).encode("utf-8", "surrogatepass").decode("latin-1")
+        for byte, letter in self.letters:
+            spelled = spelled.replace(byte, letter)  # far quicker than `translate`
+        step = self.tokenizer.model.tokenize
+        return [array("H", [t.id for t in step(word)]).tobytes() for word in spelled.split("\n")] if words else []
+
+    def _learn(self, known: Known, wanted: set[str], before: str) -> None:
+        odd, parts = [], []
+        for piece in known.missing(wanted):
+            found = _WORD.match(piece)
+            if found:
+                parts.append((piece, *found.groups()))
+            else:
+                odd.append(piece)
+        new = known.new
+        new.update(zip(odd, self._ids([before + m for m in odd])))
+        words = list({word for _, word, _ in parts if word not in new})
+        new.update(zip(words, self._word_ids([before + w for w in words])))
+        marks = list({tail for _, _, tail in parts if tail not in self.marks})
         self.marks.update(zip(marks, self._ids(marks)))
-        known.update((m, known[part[1]] + self.marks[part[2]]) for m, part in parts.items() if part)
+        for piece, word, tail in parts:
+            new[piece] = new[word] + self.marks[tail]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if any(token in text for token in self.added for text in texts):
@@ -99,7 +129,7 @@ class PieceEncoder:
             for line in lines:
                 wanted.update(line[1:])
         self._learn(self.spaced, wanted, " ")
-        first, spaced = self.first, self.spaced.__getitem__
+        first, spaced = self.first.new, self.spaced.new.__getitem__
         return [self.line.join([first[line[0]] + b"".join(map(spaced, line[1:])) for line in lines]) for lines in cut]
 
     def decode(self, ids: np.ndarray) -> str:

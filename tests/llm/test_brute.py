@@ -134,6 +134,20 @@ def test_token_shards_hold_the_ids(spark, docs):
         start += len(ids)
 
 
+def test_pieces_outlive_a_full_cache(monkeypatch):
+    """Ids stay those of the plain tokenizer when the cache turns over in nearly every batch, and when one batch overfills it."""
+    from tokenizers import Tokenizer
+    monkeypatch.setattr("gaugeline.llm.bytebpe.CACHED", 40)
+    rng, plain = np.random.default_rng(7), Tokenizer.from_file(default_path())
+    letters, tool = "abcdeßäéÀȳɏzkrst", PieceEncoder(default_path())
+    words = ["".join(rng.choice(list(letters), rng.integers(1, 12))) + rng.choice(["", ",", "...", "%"]) for _ in range(400)]
+    words += ["Ω1", "x2", "don't", "日本", "ª", "a\u0301", "\u00ad", "ŉ"]
+    for size in (5, 20, 200, 5, 20):
+        texts = ["".join(w + rng.choice([" ", "\n"]) for w in rng.choice(words, size)) + "end" for _ in range(6)]
+        for text, found in zip(texts, tool.encode(texts)):
+            assert np.frombuffer(found, "<u2").tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
 def test_pieces_encode_like_whole_texts():
     tool, rng = PieceEncoder(default_path()), np.random.default_rng(2)
     parts = [" ", "\n", "a", "É", ".", "\t", "  ", "'s", "12", "\x1c", "x ", "\r", "日", "!", " \n", "<|endoftext|>", "\x85", "🙂"]
