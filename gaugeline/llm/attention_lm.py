@@ -30,6 +30,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..session import importable, stage
 from .bytebpe import default_path, encoder
@@ -119,16 +121,38 @@ def run(p: dict[str, np.ndarray], vocab: Vocabulary, x: np.ndarray) -> dict[str,
     np.clip(a, -LIMIT, LIMIT, out=a)
     np.exp(a, out=a)
     a *= PAST
-    a /= a.sum(-1, keepdims=True)
-    h1 = h0 + np.matmul(a, v)
-    u = np.maximum(h1.reshape(-1, WIDTH) @ p["inner"] + p["inner_bias"], 0)
-    h2 = h1 + (u @ p["outer"]).reshape(h1.shape)
+    a *= 1 / a.sum(-1, keepdims=True)
+    h1 = np.matmul(a, v)
+    h1 += h0
+    u = h1.reshape(-1, WIDTH) @ p["inner"]
+    u += p["inner_bias"]
+    np.maximum(u, 0, out=u)
+    h2 = (u @ p["outer"]).reshape(h1.shape)
+    h2 += h1
     return {"rows": rows, "h0": h0, "q": q, "k": k, "v": v, "a": a, "h1": h1, "u": u, "h2": h2}
 
 
+class _Room:
+    """Two arrays of class scores that every batch of a worker uses again: fresh ones of this size cost more than what fills them."""
+
+    def __init__(self):
+        self.held = np.empty((2, 0, HEADS + SHARED), np.float32)
+
+    def take(self, rows: int) -> np.ndarray:
+        if self.held.shape[1] < rows:
+            self.held = np.empty((2, rows, HEADS + SHARED), np.float32)
+        return self.held[:, :rows]
+
+
+_room = _Room()
+
+
 def class_logits(p: dict[str, np.ndarray], vocab: Vocabulary, h: np.ndarray, before: np.ndarray) -> np.ndarray:
-    logits = h @ p["classes"]
-    logits += np.take(vocab.pairs, vocab.klass[before], axis=0)
+    """Logits of the classes; the array is overwritten by the next call."""
+    logits, pairs = _room.take(len(h))
+    np.matmul(h, p["classes"], out=logits)
+    np.take(vocab.pairs, vocab.klass[before], axis=0, out=pairs, mode="clip")
+    logits += pairs
     return np.minimum(logits, LIMIT, out=logits)
 
 
@@ -136,34 +160,38 @@ def log_chances(p: dict[str, np.ndarray], vocab: Vocabulary, x: np.ndarray, y: n
     """Natural log chance of each scored target, in window order."""
     target = y[score]
     logits = class_logits(p, vocab, run(p, vocab, x)["h2"][score], x[score])
-    own = logits[np.arange(len(target)), vocab.klass[target]]
+    own = logits[np.arange(len(target)), vocab.klass[target]].copy()
     return own - np.log(np.exp(logits, out=logits).sum(1)) + vocab.share[target]
 
 
 def gradients(p: dict[str, np.ndarray], vocab: Vocabulary, x: np.ndarray, y: np.ndarray, score: np.ndarray) -> dict[str, np.ndarray]:
     s = run(p, vocab, x)
     h = s["h2"][score]
-    d = np.exp(class_logits(p, vocab, h, x[score]))
-    d /= d.sum(1, keepdims=True)
-    d[np.arange(len(d)), vocab.klass[y[score]]] -= 1
-    d /= max(len(d), 1)
+    d = class_logits(p, vocab, h, x[score])
+    np.exp(d, out=d)
+    d *= np.float32(1 / max(len(d), 1)) / d.sum(1, keepdims=True)
+    d[np.arange(len(d)), vocab.klass[y[score]]] -= np.float32(1 / max(len(d), 1))
     g = {"classes": h.T @ d}
     d2 = np.zeros_like(s["h2"])
     d2[score] = d @ p["classes"].T
     flat = d2.reshape(-1, WIDTH)
     g["outer"] = s["u"].T @ flat
-    du = (flat @ p["outer"].T) * (s["u"] > 0)
+    du = flat @ p["outer"].T
+    du *= s["u"] > 0
     g["inner"], g["inner_bias"] = s["h1"].reshape(-1, WIDTH).T @ du, du.sum(0)
-    d1 = d2 + (du @ p["inner"].T).reshape(d2.shape)
-    da = np.matmul(d1, s["v"].transpose(0, 2, 1))
-    ds = s["a"] * (da - (s["a"] * da).sum(-1, keepdims=True))
+    d1 = d2
+    d1 += (du @ p["inner"].T).reshape(d2.shape)
+    ds = np.matmul(d1, s["v"].transpose(0, 2, 1))
+    ds -= np.einsum("nij,nij->ni", s["a"], ds)[:, :, None]
+    ds *= s["a"]
     dqkv = np.concatenate([np.matmul(ds, s["k"]), np.matmul(ds.transpose(0, 2, 1), s["q"]),
                            np.matmul(s["a"].transpose(0, 2, 1), d1)], axis=2).reshape(-1, 3 * WIDTH)
     g["qkv"] = s["h0"].reshape(-1, WIDTH).T @ dqkv
-    d0 = d1 + (dqkv @ p["qkv"].T).reshape(d1.shape)
+    d0 = d1
+    d0 += (dqkv @ p["qkv"].T).reshape(d1.shape)
     g["places"] = d0.sum(0)
-    g["ids"] = np.zeros(SHAPES["ids"], np.float32)
-    np.add.at(g["ids"], s["rows"].ravel(), d0.reshape(-1, WIDTH))
+    at = (s["rows"].reshape(-1, 1) * WIDTH + np.arange(WIDTH)).ravel()
+    g["ids"] = np.bincount(at, d0.ravel(), SHAPES["ids"][0] * WIDTH).astype(np.float32).reshape(SHAPES["ids"])
     return g
 
 
@@ -191,9 +219,15 @@ class Trainer:
         grad = np.concatenate([g[n].ravel() for n in SHAPES])
         self.steps += 1
         self.seen += int(score.sum())
-        self.first += 0.1 * (grad - self.first)
-        self.second += 0.01 * (grad * grad - self.second)
-        self.flat -= self.rate * (self.first / (1 - 0.9**self.steps)) / (np.sqrt(self.second / (1 - 0.99**self.steps)) + 1e-8)
+        self.first *= 0.9
+        self.first += 0.1 * grad
+        grad *= grad
+        self.second *= 0.99
+        self.second += 0.01 * grad
+        spread = np.sqrt(self.second, out=grad)
+        spread *= (1 - 0.99**self.steps) ** -0.5
+        spread += 1e-8
+        self.flat -= self.rate / (1 - 0.9**self.steps) * self.first / spread
 
 
 def held_out(key: str) -> Column:
@@ -241,7 +275,7 @@ def _prepared(rows: DataFrame, hot: dict[bytes, float], path: str, end: int) ->
 
     def make(batch: dict[str, list]) -> dict[str, list]:
         known = shared.value
-        out: dict[str, list] = {n: [] for n in ("n_tokens", "hot_known", "hot_score", "rare")}
+        out: dict[str, list] = {n: [] for n in ("n_tokens", "hot_known", "hot_score", "rare_word", "rare_n")}
         for text in batch["text"]:
             words = text.encode("utf-8", "surrogatepass").lower().split()
             words.append(b"")
@@ -250,23 +284,25 @@ def _prepared(rows: DataFrame, hot: dict[bytes, float], path: str, end: int) ->
             out["n_tokens"].append(len(words))
             out["hot_known"].append(len(words) - rare.total())
             out["hot_score"].append(float(sum(v for v in values if v is not None)))
-            out["rare"].append([{"word": w, "n": n} for w, n in rare.items()])
+            out["rare_word"].append(list(rare))
+            out["rare_n"].append(list(rare.values()))
         ids = encoder(path).encode(batch["text"])
         return {"key": batch["key"], "held_out": batch["held_out"], **out, "ids": ids}
     made = by_batch(rows, make, "key long, held_out boolean, n_tokens long, hot_known long, hot_score double, "
-                                "rare array<struct<word: binary, n: long>>, ids binary")
+                                "rare_word array<binary>, rare_n array<long>, ids binary")
     return stage(made.withColumn("row", F.monotonically_increasing_id()), "prepared")
 
 
-def _bincounts(ids: DataFrame, make, size: int) -> np.ndarray:
-    """Sum over all texts of `make(ids)`, an array of `size` counts; one row per value and task is shuffled."""
+def _bincounts(ids: DataFrame, make, end: int, size: int) -> np.ndarray:
+    """Sum of `make(ids)`, an array of `size` counts, over runs of texts with `end` after each; one row per value and task is shuffled."""
     schema = pa.schema([("value", pa.int32()), ("n", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
         for batch in batches:
-            for raw in batch.column("ids"):
-                total += make(np.frombuffer(raw.as_buffer(), "<u2").astype(np.int64))
+            for at in range(0, batch.num_rows, 200):
+                texts = [np.frombuffer(raw.as_buffer(), "<u2") for raw in batch.column("ids").slice(at, 200)]
+                total += make(np.concatenate([part for text in texts for part in (text, np.array([end]))]))
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], schema=schema)
     out = np.zeros(size)
@@ -281,14 +317,14 @@ def _counted(prepared: DataFrame, path: str) -> tuple[Vocabulary, int]:
     size = tokenizer.get_vocab_size() + 1
     end = size - 1
     learned = prepared.where("NOT held_out")
-    counts = _bincounts(learned, lambda ids: np.bincount(np.append(ids, end), minlength=size), size)
+    counts = _bincounts(learned, lambda ids: np.bincount(ids, minlength=size), end, size)
     vocab = vocabulary(counts, end)
     wide, klass = HEADS + SHARED, vocab.klass
 
     def pairs(ids: np.ndarray) -> np.ndarray:
-        c = klass[np.concatenate([[end], ids, [end]])]
+        c = klass[np.concatenate([[end], ids])]
         return np.bincount(c[:-1] * wide + c[1:], minlength=wide * wide)
-    return with_pairs(vocab, _bincounts(learned, pairs, wide * wide).reshape(wide, wide)), int(counts.sum())
+    return with_pairs(vocab, _bincounts(learned, pairs, end, wide * wide).reshape(wide, wide)), int(counts.sum())
 
 
 def fit(prepared: DataFrame, vocab: Vocabulary, n_ids: int, rate: float = 6e-3) -> np.ndarray:
@@ -326,22 +362,22 @@ def scored(prepared: DataFrame, vocab: Vocabulary, flat: np.ndarray) -> DataFram
     shared = prepared.sparkSession.sparkContext.broadcast((flat, vocab))
     kept = [c for c in prepared.columns if c != "ids"]
 
-    def make(batch: dict[str, list]) -> dict[str, list]:
-        weights, vocab = shared.value
-        p = unpacked(weights)
-        owners, parts, total = [], [], np.zeros(len(batch["ids"]))
+    schema = to_arrow_schema(StructType([prepared.schema[c] for c in kept] + [StructField("score", DoubleType())]))
+
+    def chances(texts: list[bytes], p: dict[str, np.ndarray], vocab: Vocabulary) -> np.ndarray:
+        owners, parts, total = [], [], np.zeros(len(texts))
 
         def flush() -> None:
             x, y, score = (np.concatenate(c) for c in zip(*parts))
             who = np.repeat(np.array([o for o, _ in owners]), [n for _, n in owners])
             for at in range(0, len(x), BATCH):
                 cut = slice(at, at + BATCH)
-                chances = log_chances(p, vocab, x[cut], y[cut], score[cut])
-                total[:] += np.bincount(np.repeat(who[cut], score[cut].sum(1)), chances, len(total))
+                found = log_chances(p, vocab, x[cut], y[cut], score[cut])
+                total[:] += np.bincount(np.repeat(who[cut], score[cut].sum(1)), found, len(total))
             owners.clear()
             parts.clear()
         held = 0
-        for n, raw in enumerate(batch["ids"]):
+        for n, raw in enumerate(texts):
             made = windows(np.frombuffer(raw, "<u2"), vocab.end)
             owners.append((n, len(made[0])))
             parts.append(made)
@@ -351,9 +387,19 @@ def scored(prepared: DataFrame, vocab: Vocabulary, flat: np.ndarray) -> DataFram
                 held = 0
         if parts:
             flush()
-        return {**{c: batch[c] for c in kept}, "score": (total / np.log(10)).tolist()}
+        return total / np.log(10)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, vocab = shared.value
+        p = unpacked(weights)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                found = chances(part.column("ids").to_pylist(), p, vocab)
+                columns = [part.column(c).cast(schema.field(c).type) for c in kept]  # as they came, never as Python values
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.float64())], schema=schema)
     ddl = ", ".join(f"{c} {prepared.schema[c].dataType.simpleString()}" for c in kept) + ", score double"
-    return by_batch(prepared, make, ddl)
+    return prepared.mapInArrow(score, ddl)
 
 
 def lm_scores(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer: str | None = None) -> DataFrame:
@@ -368,7 +414,8 @@ def lm_scores(docs: DataFrame, key: str = "doc_id", text: str = "text", tokenize
     prepared = _prepared(rows, hot, path, 0)
     vocab, n_ids = _counted(prepared, path)
     done = stage(scored(prepared, vocab, fit(prepared, vocab, n_ids)), "scored")
-    rare = done.select("row", F.explode("rare").alias("r")).select("row", F.col("r.word").alias("word"), F.col("r.n").alias("times"))
+    rare = done.select("row", F.explode(F.arrays_zip("rare_word", "rare_n")).alias("r")).select(
+        "row", F.col("r.rare_word").alias("word"), F.col("r.rare_n").alias("times"))
     met = rare.join(words, "word", "left").groupBy("row").agg(
         F.sum(F.col("times") * (F.log10(F.coalesce("n", F.lit(0)) + F.lit(0.5)) - F.lit(float(below)))).alias("rare_score"),
         F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("rare_known"))
