@@ -632,7 +632,8 @@ def stream_scoring(spark, sf_dir):
     batch = stage(clean.only_defined(rul_features(sensor_view(spark, sf_dir), 60, 60, ["unit_id"], rows_back=3)), "train")
     split = batch.withColumn("split", F.lit("train"))
     fills = prep.train_medians(split, SCORED).first().asDict()
-    model = models.fit(prep.impute(batch, SCORED, fills), SCORED, models.forest())
+    # Remembered node ids save walking every tree from its root at every level; the trees are the same.
+    model = models.fit(prep.impute(models.evenly(batch), SCORED, fills), SCORED, models.forest(cacheNodeIds=True))
     table, path = _live_bin_table(spark, sf_dir)
     out = new_path(spark, "live-scores")
     halves = new_path(spark, "live-halves")

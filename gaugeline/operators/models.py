@@ -45,6 +45,17 @@ def fit(train: DataFrame, features: Sequence[str], regressor) -> PipelineModel:
     return PipelineModel([stage, regressor.fit(stage.transform(train))])
 
 
+def evenly(train: DataFrame) -> DataFrame:
+    """A train table in as many equal parts as there are cores, if it has several parts at all.
+
+    A forest waits at every level for its largest part, and each part sends its own statistics of every node, so
+    neither uneven parts nor more of them than cores will do. A small table of one part stays as it is.
+    """
+    if train.rdd.getNumPartitions() == 1:
+        return train
+    return train.repartition(train.sparkSession.sparkContext.defaultParallelism)
+
+
 def score(model: PipelineModel, rows: DataFrame, name: str, key: str = "pos", target: str = TARGET) -> DataFrame:
     """(model, key, y_true, y_pred) for every row."""
     return model.transform(rows).select(

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from itertools import islice
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -22,6 +23,7 @@ from ..session import importable
 STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 SLICE = 10_000
+HELD = 1_000  # bins kept beyond those wanted before the older ones are dropped
 
 
 def prepare(spark: SparkSession) -> None:
@@ -82,29 +84,33 @@ class SinceFailure(StatefulProcessor):
 
 
 class NewestBins(StatefulProcessor):
-    """A unit's fresh bins, preceded by the newest `rows_back` bins of earlier batches (`fresh` false)."""
+    """A unit's fresh bins, preceded by the newest `rows_back` bins of earlier batches (`fresh` false).
+
+    Works on rows, not frames: a unit has few bins in a batch, and a frame costs more than all of them. What a unit
+    gives out in one batch is in memory at once: bins, so bounded by the span of the log, not by its readings.
+    Of bins of one time the later come last.
+    """
 
     def __init__(self, parts: Sequence[str], rows_back: int, idle_ms: int | None) -> None:
         self.parts, self.rows_back, self.idle_ms = list(parts), rows_back, idle_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.newest = handle.getListState("newest", "second bigint, payload string", self.idle_ms)
-
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        kept = pd.DataFrame(list(self.newest.get()), columns=["second", "payload"])
-        if len(kept):
-            yield self._out(key, kept, False)
-        for frame in rows:
-            frame = frame[["second", "payload"]]
-            yield self._out(key, frame, True)
-            kept = pd.concat([kept, frame]).sort_values("second", kind="stable").tail(self.rows_back)
-        self.newest.put(list(zip(kept["second"].tolist(), kept["payload"].tolist())))
-
-    def _out(self, key: tuple, frame: pd.DataFrame, fresh: bool) -> pd.DataFrame:
-        head = {name: pd.Series([value] * len(frame), dtype="object") for name, value in zip(self.parts, key)}
-        return pd.DataFrame({
-            **head, "second": frame["second"].to_numpy("int64"), "payload": frame["payload"].tolist(), "fresh": fresh,
-        })
+        self.out = Row(*self.parts, "second", "payload", "fresh")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        kept = list(self.newest.get())
+        for second, payload in kept:
+            yield self.out(*key, second, payload, False)
+        for row in rows:
+            yield self.out(*key, row["second"], row["payload"], True)
+            kept.append((row["second"], row["payload"]))
+            if len(kept) > self.rows_back + HELD:
+                kept = self._latest(kept)
+        self.newest.put(self._latest(kept))
+
+    def _latest(self, kept: list[tuple]) -> list[tuple]:
+        return sorted(kept, key=itemgetter(0))[max(len(kept) - self.rows_back, 0):]
 
     def close(self) -> None:
         pass
@@ -144,7 +150,7 @@ def with_newest(stream: DataFrame, parts: Sequence[str], ts: str, rows_back: int
         T.StructField("payload", T.StringType()), T.StructField("fresh", T.BooleanType()),
     ])
     mode = "None" if idle_ms is None else "ProcessingTime"
-    out = narrow.groupBy(*parts).transformWithStateInPandas(NewestBins(parts, rows_back, idle_ms), shape, "append", mode)
+    out = narrow.groupBy(*parts).transformWithState(NewestBins(parts, rows_back, idle_ms), shape, "append", mode)
     back = out.withColumn("_row", F.from_json("payload", carried, exact)).withColumn(ts, at_second(F.col("second")))
     return back.select(*[F.col(f"_row.`{n}`").alias(n) if n in carried.names else F.col(n) for n in stream.columns],
                        F.col("fresh").alias("_fresh"))

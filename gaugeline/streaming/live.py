@@ -22,6 +22,7 @@ from ..operators.eda import summary_stats
 from ..operators.features import rolling_features
 from ..operators.ordered import running
 from ..operators.prep import impute
+from ..schema import KEY_SIGNALS
 from ..session import new_path, stage
 from . import keyed
 
@@ -37,8 +38,10 @@ def live_bins(
     """Streaming bins: a bin is emitted once, when the watermark has passed its end.
 
     Partial aggregation runs before the shuffle, so a busy unit costs one row
-    per bin and task. Readings later than the watermark are dropped.
+    per bin and task. Readings later than the watermark are dropped. Open bins wait in the store that
+    keeps them on disk: a batch may open as many as it has readings.
     """
+    keyed.prepare(readings.sparkSession)
     flagged = flag_failures(parse_time(readings, ts))
     placed = drop_without_gps(flagged) if require_gps else flagged
     # Watermarks want a zoned type; the wall-clock second is read as UTC and back.
@@ -87,9 +90,13 @@ def score_bins(
 
     The last `rows_back` bins of a unit are state of the stream (`keyed.NewestBins`): a batch reads and writes
     those of the units it has bins of, whatever the fleet's size, and a unit may be silent for any time
-    unless `idle_ms` bounds it. Missing features get the train medians in `fills`, as in training. Batch
+    unless `idle_ms` bounds it. Only columns that are features, or that features are made of, enter the state.
+    Missing features get the train medians in `fills`, as in training. Batch
     ids are folders of the output, so a replayed batch overwrites itself instead of adding rows.
     """
+    used = {*parts, ts, *features, *KEY_SIGNALS}
+    narrow = stream.select(*[c for c in stream.columns if c in used])
+
     def handle(batch: DataFrame, batch_id: int) -> None:
         recent = stage(batch, "live-batch")
         placed = running(recent, ts, day_chunk(ts), parts, position="pos")
@@ -100,7 +107,7 @@ def score_bins(
         )
 
     query = (
-        keyed.with_newest(stream, parts, ts, rows_back, idle_ms).writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+        keyed.with_newest(narrow, parts, ts, rows_back, idle_ms).writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()
