@@ -454,8 +454,13 @@ STATUS_COLUMNS = ["unit_id", "timestamp_bin", "predicted_minutes", "risk_band",
 
 def _predicted(spark, sf_dir):
     """Hourly bins per unit with the life a life table predicts for them."""
+    return rounded(_predicted_whole(spark, sf_dir))
+
+
+def _predicted_whole(spark, sf_dir):
+    """The same before rounding, for results that go on from it: a mean of rounded values would be rounded twice."""
     rows = stage(unit_bins_view(spark, sf_dir), "unit-life")
-    return rounded(rul.predict_life(rows, rul.life_table(rows)))
+    return rul.predict_life(rows, rul.life_table(rows))
 
 
 @entry("survival_curve", UNIT_LIFE + f"""
@@ -566,7 +571,7 @@ def roi(spark, sf_dir):
 SELECT unit_id, CAST(timestamp_bin AS DATE) AS day, {q6('min(predicted_minutes)')} AS min_rul, {q6('avg(predicted_minutes)')} AS avg_rul
 FROM predicted GROUP BY 1, 2""")
 def fleet_heatmap(spark, sf_dir):
-    return rounded(eda.unit_heatmap(_predicted(spark, sf_dir), rul="predicted_minutes"))
+    return rounded(eda.unit_heatmap(_predicted_whole(spark, sf_dir), rul="predicted_minutes"))
 
 
 # ---- streams -----------------------------------------------------------------
